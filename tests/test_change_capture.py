@@ -1,0 +1,154 @@
+"""Snapshot comparison: keyed, multiset, baseline, headers, and the cases that break naive versions."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from orderlake.contract import ORDER_ITEMS, TableContract
+from orderlake.functions import row_fingerprint, row_fingerprint_exact, without_load_metadata
+from orderlake.operators.multiset import replicate
+from orderlake.plans.change_capture import capture_changes, op_counts
+from orderlake.plans.current_state import collapse
+
+ITEM = "order_id string, lineitem_id string, item_price double, ingested_at string, op string"
+OPTION = "order_id string, lineitem_id string, option_name string, option_price double, ingested_at string, op string"
+BAG = TableContract("bag")
+
+
+def items(spark, *data):
+    return spark.createDataFrame([(*d, "t", "I") for d in data], ITEM)
+
+
+def options(spark, *data):
+    return spark.createDataFrame([(*d, "t", "I") for d in data], OPTION)
+
+
+def short(log):
+    """Op and source values."""
+    return rows(log.select("Op", *[c for c in log.columns if c != "Op" and not c.startswith("cdc_")]))
+
+
+def test_metadata_is_not_part_of_the_row(spark):
+    assert without_load_metadata(items(spark, ("a", "1", 1.0))).columns == ["order_id", "lineitem_id", "item_price"]
+
+
+def test_baseline_is_all_inserts_with_duplicates(spark):
+    log = capture_changes(options(spark, ("a", "1", "x", 1.0), ("a", "1", "x", 1.0)), None, BAG, "2026-01-01")
+    assert short(log) == [("I", "a", "1", "x", 1.0)] * 2
+
+
+def test_keyed_insert_update_delete_and_unchanged(spark):
+    before = items(spark, ("a", "1", 1.0), ("a", "2", 2.0), ("b", "1", 3.0))
+    now = items(spark, ("a", "1", 1.0), ("a", "2", 2.5), ("c", "1", 4.0))
+    log = capture_changes(now, before, ORDER_ITEMS, "2026-01-02")
+    assert short(log) == [("D", "b", "1", 3.0), ("I", "c", "1", 4.0), ("U", "a", "2", 2.5)]
+    assert {r["Op"]: r["n"] for r in op_counts(log).collect()} == {"I": 1, "U": 1, "D": 1}
+
+
+def test_same_snapshot_has_no_changes(spark):
+    df = items(spark, ("a", "1", 1.0), (None, None, None))
+    assert capture_changes(df, df, ORDER_ITEMS, "2026-01-02").count() == 0
+    bag = options(spark, ("a", None, "x", 1.0), ("a", None, "x", 1.0))
+    assert capture_changes(bag, bag, BAG, "2026-01-02").count() == 0
+
+
+def test_value_becoming_null_or_empty_is_an_update(spark):
+    before = items(spark, ("a", "1", 1.0), ("b", "1", None))
+    now = items(spark, ("a", "1", None), ("b", "1", 0.0))
+    assert short(capture_changes(now, before, ORDER_ITEMS, "d2".replace("d2", "2026-01-02"))) == [
+        ("U", "a", "1", None), ("U", "b", "1", 0.0)]
+
+
+def test_null_key_is_a_key_like_any_other(spark):
+    before = items(spark, ("a", None, 1.0), (None, "7", 5.0))
+    now = items(spark, ("a", None, 2.0), (None, "7", 5.0))
+    assert short(capture_changes(now, before, ORDER_ITEMS, "2026-01-02")) == [("U", "a", None, 2.0)]
+
+
+def test_separator_and_sentinel_texts_do_not_hide_changes(spark):
+    contract = TableContract("t", ("k",))
+    before = spark.createDataFrame([(1, "a||b", "c"), (2, "__NULL__", "x")], "k int, p string, q string")
+    now = spark.createDataFrame([(1, "a", "b||c"), (2, None, "x")], "k int, p string, q string")
+    assert short(capture_changes(now, before, contract, "2026-01-02")) == [("U", 1, "a", "b||c"), ("U", 2, None, "x")]
+
+
+def test_fingerprints(spark):
+    df = spark.createDataFrame([(1, "a||b", "c"), (2, "a", "b||c"), (3, None, "x"), (4, "__NULL__", "x")], "k int, p string, q string")
+    plain = [r[0] for r in df.orderBy("k").select(row_fingerprint(["q", "p"])).collect()]
+    exact = [r[0] for r in df.orderBy("k").select(row_fingerprint_exact(["q", "p"])).collect()]
+    assert plain[0] == plain[1] and plain[2] == plain[3]
+    assert len(set(exact)) == 4
+
+
+def test_upper_case_sources(spark):
+    before = spark.createDataFrame([("a", "1", 1.0, "t", "I")], "ORDER_ID string, LINEITEM_ID string, ITEM_PRICE double, ingested_at string, Op string")
+    log = capture_changes(items(spark, ("a", "1", 2.0)), before, ORDER_ITEMS, "2026-01-02")
+    assert log.columns == ["order_id", "lineitem_id", "item_price", "Op", "cdc_seq", "cdc_commit_ts", "cdc_snapshot_dt", "cdc_processed_at"]
+    assert short(log) == [("U", "a", "1", 2.0)]
+
+
+def test_repeated_key_fails_instead_of_fanning_out(spark):
+    with pytest.raises(Exception, match="key is not unique in a snapshot: a, 1"):
+        capture_changes(items(spark, ("a", "1", 1.0), ("a", "1", 2.0)), items(spark), ORDER_ITEMS, "2026-01-02").collect()
+
+
+def test_multiset_keeps_multiplicity_and_nulls(spark):
+    x, y, z = ("a", "1", "x", 1.0), ("a", "1", None, 1.0), ("b", "1", "z", 2.0)
+    before = options(spark, x, x, x, y, z)
+    now = options(spark, x, y, y, y)
+    log = capture_changes(now, before, BAG, "2026-01-02")
+    assert short(log) == sorted([("D", *x)] * 2 + [("I", *y)] * 2 + [("D", *z)], key=repr)
+
+
+def test_multiset_equals_except_all(spark):
+    before = spark.range(2000).selectExpr("id % 7 as a", "if(id % 3 = 0, null, id % 5) as b")
+    now = spark.range(1500).selectExpr("id % 11 as a", "if(id % 4 = 0, null, id % 5) as b")
+    log = capture_changes(now, before, BAG, "2026-01-02")
+    for op, expected in (("I", now.exceptAll(before)), ("D", before.exceptAll(now))):
+        assert rows(log.filter(F.col("Op") == op).select("a", "b")) == rows(expected)
+
+
+def test_a_source_column_called_count(spark):
+    before = spark.createDataFrame([(1, 5)], "count int, cnt_cur int")
+    now = spark.createDataFrame([(1, 5), (1, 5)], "count int, cnt_cur int")
+    assert short(capture_changes(now, before, BAG, "2026-01-02")) == [("I", 1, 5)]
+
+
+@pytest.mark.parametrize("copies", [1, 6, 7, 8, 14, 15, 100])
+def test_replicate_in_chunks(spark, copies):
+    df = spark.createDataFrame([("hot", copies), ("cold", 2)], "name string, n bigint")
+    out = replicate(df, F.col("n"), chunk=7).groupBy("name").count()
+    assert {r[0]: r[1] for r in out.collect()} == {"hot": copies, "cold": 2}
+
+
+def test_headers_order_batches_and_ignore_the_session_zone(spark):
+    first = capture_changes(items(spark, ("a", "1", 1.0), ("b", "1", 1.0)), None, ORDER_ITEMS, "2026-07-15")
+    later = capture_changes(items(spark, ("a", "1", 1.0)), None, ORDER_ITEMS, "2026-07-16")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        earlier_seq = [r.cdc_seq for r in first.collect()]
+        later_seq = [r.cdc_seq for r in later.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert len(set(earlier_seq)) == 2 and all(len(s) == 35 for s in earlier_seq + later_seq)
+    assert max(earlier_seq) < min(later_seq)
+    assert later_seq[0].startswith("000001784160000")
+
+
+@pytest.mark.parametrize("contract", [TableContract("t", ("k", "l")), TableContract("t")])
+def test_round_trip_over_random_snapshots(spark, contract):
+    """Collapsing the log of n snapshots gives the last snapshot."""
+    snapshots = [
+        spark.range(300).selectExpr(
+            "if(id % 50 = 0, null, id) as k", "cast(id % 3 as string) as l",
+            f"if((id * 7 + {s}) % 4 = 0, null, (id * {s + 3}) % 5) as v",
+        ).filter(f"(l || '{s}') <> '1{s % 3}' and (k is not null or l = '{s % 3}')").dropDuplicates(["k", "l"])
+        for s in range(4)
+    ]
+    if not contract.keys:
+        snapshots = [s.drop("k").unionAll(s.filter("v = 1").drop("k")) for s in snapshots]
+    log, before = None, None
+    for i, now in enumerate(snapshots):
+        step = capture_changes(now, before, contract, f"2026-01-0{i + 1}")
+        log, before = (step if log is None else log.unionAll(step)), now
+    assert rows(collapse(log, contract)) == rows(snapshots[-1])

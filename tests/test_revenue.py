@@ -1,0 +1,77 @@
+from datetime import date
+
+import pytest
+from conftest import by, rows
+
+from orderlake.plans.revenue import known_customers, line_item_facts, order_facts, regular
+
+ITEM = ("order_id string, lineitem_id string, user_id string, restaurant_id string, app_name string, currency string, "
+        "is_loyalty boolean, creation_time_utc string, item_category string, item_name string, item_price double, item_quantity int")
+OPTION = "order_id string, lineitem_id string, option_group_name string, option_name string, option_price double, option_quantity int"
+
+
+def item(order, line, price=10.0, quantity=1, user="u1", loyalty=False, when="2023-05-06 23:30:00", app="web"):
+    return (order, line, user, "r1", app, "USD", loyalty, when, "Food", "Soup", price, quantity)
+
+
+def lines(spark, items, options=()):
+    return line_item_facts(spark.createDataFrame(items, ITEM), spark.createDataFrame(list(options), OPTION))
+
+
+def test_add_ons_and_discounts_split(spark):
+    out = by(lines(spark, [item("o1", "1", 10.0, 2)], [("o1", "1", "g", "cheese", 1.5, 2), ("o1", "1", "g", "deal", -4.0, 1)]), "lineitem_id")["1"]
+    assert (out.item_amount, out.gross_revenue, out.discount_amount, out.net_revenue) == (20.0, 23.0, -4.0, 19.0)
+    assert out.is_discounted is True and out.is_outlier is False and out.options_discount == -4.0
+
+
+def test_many_options_keep_one_row(spark):
+    out = lines(spark, [item("o1", "1"), item("o1", "2")], [("o1", "1", "g", f"n{i}", 1.0, 1) for i in range(30)])
+    assert {r.lineitem_id: r.net_revenue for r in out.collect()} == {"1": 40.0, "2": 10.0}
+    assert not {"opt_total", "opt_plus", "opt_minus"} & set(out.columns)
+
+
+def test_options_of_unknown_lines_are_left_out(spark):
+    out = lines(spark, [item("o1", "1")], [("o9", "1", "g", "x", 5.0, 1)])
+    assert rows(out.select("order_id", "net_revenue")) == [("o1", 10.0)]
+
+
+def test_outlier_is_strictly_above(spark):
+    out = by(lines(spark, [item("o1", "1", 10000.0), item("o2", "1", 10000.01), item("o3", "1", 9999.0)], [("o3", "1", "g", "x", 2.0, 1)]), "order_id")
+    assert [out[o].is_outlier for o in ("o1", "o2", "o3")] == [False, True, True]
+
+
+def test_null_price_makes_unknown_revenue(spark):
+    facts = lines(spark, [item("o1", "1", None), item("o2", "1")])
+    assert by(facts, "order_id")["o1"].is_outlier is None
+    orders = order_facts(facts)
+    assert orders.count() == 2 and rows(regular(orders).select("order_id")) == [("o2",)]
+
+
+def test_text_and_decimal_money(spark):
+    items = spark.createDataFrame([item("o1", "1", 1.0)], ITEM).selectExpr("* except (item_price, item_quantity)", "'2.50' as item_price", "cast(3 as decimal(5,2)) as item_quantity")
+    bad = items.selectExpr("* except (item_price)", "'n/a' as item_price").withColumn("order_id", items.app_name)
+    out = by(line_item_facts(items.unionByName(bad), spark.createDataFrame([], OPTION)), "order_id")
+    assert out["o1"].net_revenue == 7.5 and out["web"].net_revenue is None
+
+
+def test_order_roll_up(spark):
+    facts = lines(spark, [item("o1", "1", 10.0, 2), item("o1", "2", 5.0, 1), item("o2", "1", 1.0, 1, when="bad")], [("o1", "2", "g", "d", -1.0, 1)])
+    out = by(order_facts(facts), "order_id")
+    first = out["o1"]
+    assert (first.order_revenue, first.order_gross_revenue, first.order_discount_amount) == (24.0, 25.0, -1.0)
+    assert (first.line_item_count, first.total_item_quantity, first.is_discounted) == (2, 3.0, True)
+    assert first.order_date == date(2023, 5, 6) and first.order_ts.hour == 23
+    assert out["o2"].order_date is None and out["o2"].order_ts is None
+
+
+def test_attributes_come_from_the_first_line_that_has_them(spark):
+    data = [item("o1", "3", user="u3", app="c"), item("o1", "1", user=None, app="a"), item("o1", "2", user="u2", app="b")]
+    for arrangement in (data, data[::-1]):
+        row = order_facts(lines(spark, arrangement).repartition(3)).first()
+        assert (row.user_id, row.app_name) == ("u2", "a")
+
+
+def test_line_and_order_outliers_differ(spark):
+    orders = order_facts(lines(spark, [item("o1", str(i), 4000.0) for i in range(3)] + [item("o2", "1", user=None)]))
+    assert rows(orders.select("order_id", "is_outlier")) == [("o1", True), ("o2", False)]
+    assert known_customers(orders).count() == 0
