@@ -1,23 +1,24 @@
-"""Ranks over a whole table without gathering it in one task.
+"""Ranks over a whole table.
 
-A window without PARTITION BY sorts every row in a single task. Here the rows are
-range-partitioned and sorted instead, and ``monotonically_increasing_id`` numbers them
-as (partition number, row number in the partition). Those ids grow with the global
-order, so the driver only needs the size of each partition, one number per
-partition, to say at which id every bucket starts.
+A window without PARTITION BY sorts every row in one task. That is used only for a
+table counted to have at most ``one_task_limit`` rows. Beyond it the rows are
+range-partitioned and sorted, and ``monotonically_increasing_id`` numbers them as
+(partition number, row number in the partition). Those ids grow with the global order,
+so the driver only needs the size of each partition, one number per partition, to say
+at which id every bucket starts.
 
-The numbered rows are made durable first: range bounds come from sampling, and the two
-passes must see the same ones even if an executor is lost in between.
+The ranked rows are made durable first: range bounds come from sampling, and every pass
+must see the same ones even if an executor is lost in between.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import durable
@@ -27,6 +28,9 @@ _PARTITION = "__orderlake_partition"
 # monotonically_increasing_id keeps the row number in its low 33 bits
 _ROW_BITS = 33
 
+# rows one task sorts at ease
+ONE_TASK = 100_000
+
 
 class _Numbered:
     """Rows in a global order plus what is needed to turn a position into an id."""
@@ -58,19 +62,28 @@ class _Numbered:
         )
 
 
-def ntile(df: DataFrame, buckets: int, order: Sequence[Column], name: str) -> DataFrame:
-    """SQL ``ntile(buckets)`` over ``order``, which must be total to be repeatable."""
-    numbered = _Numbered(df, order)
-    size, larger = divmod(numbered.total, buckets)
-    starts = (b * size + min(b, larger) for b in range(1, buckets))
-    first_ids = [numbered.id_at(s) for s in starts if s < numbered.total]
-    bucket = sum((F.col(_ID) >= i).cast("int") for i in first_ids) + F.lit(1) if first_ids else F.lit(1)
-    return numbered.rows.withColumn(name, bucket).drop(_ID)
-
-
-def dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
+def ntiles(
+    df: DataFrame, buckets: int, orders: Mapping[str, Sequence[Column]], one_task_limit: int = ONE_TASK
+) -> DataFrame:
+    """SQL ``ntile(buckets)`` over each order, which must be total to be repeatable."""
+    rows = durable(df)
+    if rows.count() <= one_task_limit:
+        ranked = {name: F.ntile(buckets).over(Window.orderBy(*order)) for name, order in orders.items()}
+        return rows.withColumns(ranked)
+    for name, order in orders.items():
+        numbered = _Numbered(rows, order)
+        size, larger = divmod(numbered.total, buckets)
+        starts = (b * size + min(b, larger) for b in range(1, buckets))
+        reached = (F.col(_ID) >= numbered.id_at(s) for s in starts if s < numbered.total)
+        rows = numbered.rows.withColumn(name, sum((r.cast("int") for r in reached), F.lit(1))).drop(_ID)
+    return rows
+
+
+def dense_rank(df: DataFrame, value: str, name: str, one_task_limit: int = ONE_TASK) -> DataFrame:
     """SQL ``dense_rank`` by ``value`` descending: the place of the value among the distinct ones."""
-    rows = durable(df)  # the sums being ranked must be the same bits on both sides of the join
+    rows = durable(df)  # the values must be the same bits on both sides of the join
+    if rows.count() <= one_task_limit:
+        return rows.withColumn(name, F.dense_rank().over(Window.orderBy(F.col(value).desc())))
     ranked = _Numbered(rows.select(value).distinct(), [F.col(value).desc()]).with_position(name)
     places = ranked.select(F.col(value).alias("__orderlake_value"), (F.col(name) + 1).cast("int").alias(name))
     return rows.join(places, F.col(value).eqNullSafe(F.col("__orderlake_value")), "left").drop("__orderlake_value")
@@ -79,7 +92,9 @@ def dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
 def exact_median(df: DataFrame, value: str, key: str) -> float | None:
     """Median of the non-NULL values: the mean of the one or two in the middle.
 
-    ``key`` (unique) splits a value that many rows share over several range partitions.
+    For values with no bound on how many differ; the built-in ``median`` keeps every
+    distinct one in a single task. ``key`` (unique) splits a value that many rows share
+    over several range partitions.
     """
     numbers = df.select(F.col(value).cast("double").alias(value), key).dropna(subset=[value])
     numbered = _Numbered(numbers, [F.col(value), F.col(key)])

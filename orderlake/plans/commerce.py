@@ -45,14 +45,14 @@ def sales_rollup(daily: DataFrame, grain: str, by: Sequence[str] = ()) -> DataFr
     )
 
 
-def location_performance(orders: DataFrame) -> DataFrame:
+def location_performance(orders: DataFrame, **ranking: int) -> DataFrame:
     """Locations with revenue, volume and rank; equal revenue shares a rank."""
     location = orders.groupBy("restaurant_id").agg(
         F.sum(F.col("order_revenue").cast("double")).alias("total_revenue"),
         F.count(F.lit(1)).alias("order_count"),
         F.count_distinct("user_id").alias("unique_customers"),
     )
-    return dense_rank(location, "total_revenue", "revenue_rank").select(
+    return dense_rank(location, "total_revenue", "revenue_rank", **ranking).select(
         "restaurant_id", "revenue_rank", "total_revenue", "order_count", "unique_customers",
         (F.col("total_revenue") / F.col("order_count")).alias("avg_order_value"),
     )

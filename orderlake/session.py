@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # month partitions are written side by side; only a task with more months sorts its rows
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
 }
 
 

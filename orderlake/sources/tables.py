@@ -32,14 +32,9 @@ def write_table(df: DataFrame, location: str) -> int:
 def write_months(df: DataFrame, location: str, month: str, day: str, whole: bool) -> dict:
     """Replace a month-partitioned table, or (``whole`` false) only the months ``df`` has.
 
-    Returns the row count and the first and last day written. The rebalance puts a
-    month's rows together for few, large files, and lets AQE split a month that is too
-    big for one task.
+    Returns the row count and the first and last day written.
     """
-    watched, metrics = observed(
-        df.hint("rebalance", month),
-        rows=F.count(F.lit(1)), first_day=F.min(day), last_day=F.max(day),
-    )
+    watched, metrics = observed(df, rows=F.count(F.lit(1)), first_day=F.min(day), last_day=F.max(day))
     mode = "static" if whole else "dynamic"
     watched.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(month).parquet(location)
     return metrics.get

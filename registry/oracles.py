@@ -197,7 +197,7 @@ SELECT clv_month, count(*) AS customer_days, {money("sum(daily_revenue)")} AS re
   CAST(sum(daily_order_count) AS BIGINT) AS orders, {money("sum(cumulative_clv)")} AS clv_days,
   max(cumulative_order_count) AS most_orders, min(first_order_date) AS oldest_customer FROM clv GROUP BY clv_month"""
 ORACLES["clv_trends"] = f"""WITH {ORDER_CLV}
-SELECT clv_date, {money("sum(cumulative_clv)")} AS total_cumulative_clv, {money("avg(cumulative_clv)", 6)} AS avg_cumulative_clv,
+SELECT clv_date, {money("sum(cumulative_clv)")} AS total_cumulative_clv, {money("avg(cumulative_clv) * count(*)")} / count(*) AS avg_cumulative_clv,
   {money("sum(daily_revenue)")} AS daily_revenue, count(*) AS active_customers,
   count(*) FILTER (WHERE clv_date = first_order_date) AS new_customers FROM clv GROUP BY clv_date"""
 TIERS = f"""{FACTS},
@@ -328,3 +328,7 @@ SELECT CAST(coalesce(sum(orders) FILTER (WHERE is_discounted), 0) AS BIGINT) AS
 ORACLES["report_discount_long"] = f"""WITH {DISCOUNTS}
 SELECT segment, 'Gross' AS measure, {money("total_gross_revenue")} AS amount FROM discounts
 UNION ALL SELECT segment, 'Net', {money("total_net_revenue")} FROM discounts"""
+
+# the same results by another path
+for name in ("customer_clv_tiers", "customer_rfm", "location_performance"):
+    ORACLES[f"{name}_distributed"] = ORACLES[name]

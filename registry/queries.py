@@ -314,7 +314,10 @@ def clv_daily_incremental(spark, sf_dir):
 def clv_trends(spark, sf_dir):
     first, last = star.order_days(spark, sf_dir)
     daily = customers.daily_value(star.named_orders(spark, sf_dir), first, last)
-    return rounded(customers.value_trends(daily), avg_cumulative_clv=6)
+    trends = customers.value_trends(daily)
+    # an average of cents can end in exactly half a unit; scaled back to its sum it cannot
+    n, mean = F.col("active_customers"), F.col("avg_cumulative_clv")
+    return rounded(trends.withColumn("avg_cumulative_clv", mean * n)).withColumn("avg_cumulative_clv", mean / n)
 
 
 @query
@@ -327,6 +330,17 @@ def customer_rfm(spark, sf_dir):
     return rounded(_rfm(spark, sf_dir))
 
 
+@query
+def customer_clv_tiers_distributed(spark, sf_dir):
+    """The path of populations too large to be ranked in one task."""
+    return rounded(_tiers(spark, sf_dir, one_task_limit=0))
+
+
+@query
+def customer_rfm_distributed(spark, sf_dir):
+    return rounded(_rfm(spark, sf_dir, one_task_limit=0))
+
+
 @query
 def churn_indicators(spark, sf_dir):
     return rounded(_churn(spark, sf_dir), avg_gap_days=6, spend_change_pct=6)
@@ -342,12 +356,13 @@ RATIOS = (
 )
 
 
-def _tiers(spark, sf_dir):
-    return customers.value_tiers(star.named_orders(spark, sf_dir))
+def _tiers(spark, sf_dir, **ranking):
+    return customers.value_tiers(star.named_orders(spark, sf_dir), **ranking)
 
 
-def _rfm(spark, sf_dir):
-    return customers.recency_frequency_monetary(star.named_orders(spark, sf_dir), star.order_days(spark, sf_dir)[1])
+def _rfm(spark, sf_dir, **ranking):
+    as_of = star.order_days(spark, sf_dir)[1]
+    return customers.recency_frequency_monetary(star.named_orders(spark, sf_dir), as_of, **ranking)
 
 
 def _churn(spark, sf_dir):
@@ -363,8 +378,8 @@ def _sales(spark, sf_dir):
     return commerce.sales_daily(regular(star.line_facts(spark, sf_dir)), star.calendar(spark, sf_dir))
 
 
-def _locations(spark, sf_dir):
-    return commerce.location_performance(regular(star.facts(spark, sf_dir)))
+def _locations(spark, sf_dir, **ranking):
+    return commerce.location_performance(regular(star.facts(spark, sf_dir)), **ranking)
 
 
 def _discounts(spark, sf_dir):
@@ -391,6 +406,11 @@ def location_performance(spark, sf_dir):
     return rounded(_locations(spark, sf_dir), avg_order_value=6)
 
 
+@query
+def location_performance_distributed(spark, sf_dir):
+    return rounded(_locations(spark, sf_dir, one_task_limit=0), avg_order_value=6)
+
+
 @query
 def discount_effectiveness(spark, sf_dir):
     return rounded(_discounts(spark, sf_dir), **dict.fromkeys(RATIOS, 6))

@@ -29,25 +29,32 @@ def _line_id():
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
-    parts, people = table(spark, sf_dir, "part"), table(spark, sf_dir, "customer")
-    joined = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).join(
-        people, F.col("o_custkey") == F.col("c_custkey")
-    )
-    return joined.select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        _line_id(),
+    # texts of an order or customer are formed before the join: once each, not once per line
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"),
+        "o_custkey",
         F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", F.col("o_custkey").cast("string")).alias("user_id"),
-        F.col("c_nationkey").cast("string").alias("restaurant_id"),
-        F.col("c_mktsegment").alias("app_name"),
-        F.lit("USD").alias("currency"),
         (F.col("o_orderpriority") == "1-URGENT").alias("is_loyalty"),
         F.col("o_orderdate").cast("string").alias("creation_time_utc"),
+    )
+    people = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_custkey"),
+        F.col("c_nationkey").cast("string").alias("restaurant_id"),
+        F.col("c_mktsegment").alias("app_name"),
+    )
+    parts = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("l_partkey"),
         F.col("p_type").alias("item_category"),
         F.col("p_name").alias("item_name"),
         F.col("p_retailprice").alias("item_price"),
+    )
+    joined = table(spark, sf_dir, "lineitem").join(parts, "l_partkey").join(orders.join(people, "o_custkey"), "l_orderkey")
+    return joined.select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        _line_id(),
+        "user_id", "restaurant_id", "app_name",
+        F.lit("USD").alias("currency"),
+        "is_loyalty", "creation_time_utc", "item_category", "item_name", "item_price",
         F.col("l_quantity").cast("int").alias("item_quantity"),
     )
 

@@ -5,7 +5,7 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderlake.operators import dense_rank, exact_median, ntile
+from orderlake.operators import dense_rank, exact_median, ntiles
 
 
 def population(spark, n):
@@ -15,21 +15,23 @@ def population(spark, n):
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 4, 5, 7, 23, 1003])
-@pytest.mark.parametrize("descending", [True, False])
-def test_ntile_equals_the_window(spark, n, descending):
+def test_ntiles_equal_the_window(spark, n):
     df = population(spark, n)
-    order = [F.col("v").desc() if descending else F.col("v").asc(), F.col("user_id").asc()]
-    expected = df.withColumn("q", F.ntile(5).over(Window.orderBy(*order)))
-    actual = ntile(df, 5, order, "q")
-    assert actual.schema["q"].dataType == expected.schema["q"].dataType
-    assert rows(actual) == rows(expected)
+    tie = F.col("user_id").asc()
+    orders = {"down": [F.col("v").desc(), tie], "up": [F.col("v").asc(), tie]}
+    expected = df.withColumns({q: F.ntile(5).over(Window.orderBy(*o)) for q, o in orders.items()})
+    for limit in (-1, 10**6):
+        actual = ntiles(df, 5, orders, one_task_limit=limit)
+        assert actual.dtypes == expected.dtypes
+        assert rows(actual) == rows(expected)
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 500])
 def test_dense_rank_equals_the_window(spark, n):
     df = population(spark, n)
     expected = df.withColumn("place", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
-    assert rows(dense_rank(df, "v", "place")) == rows(expected)
+    for limit in (-1, 10**6):
+        assert rows(dense_rank(df, "v", "place", one_task_limit=limit)) == rows(expected)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 501])
