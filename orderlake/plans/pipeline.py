@@ -32,6 +32,7 @@ from ..sources import (
     read_log,
     read_snapshot,
     read_table,
+    replace_table,
     resolve_pair,
     snapshot_dates,
     table_exists,
@@ -42,7 +43,7 @@ from ..streaming.late_orders import affected_since, refresh_daily_value
 from . import calendar as cal
 from . import commerce, customers
 from .change_capture import capture_changes
-from .current_state import collapse
+from .current_state import collapse, collapse_onto
 from .revenue import known_customers, line_item_facts, order_facts, regular
 
 LINES, ORDERS = "order_line_items", "orders"
@@ -76,10 +77,25 @@ def log_pair(
     return {t: log_snapshot(spark, layout, CONTRACTS[t], current, previous) for t in tables if t in LOGGED}
 
 
-def refresh_current(spark: SparkSession, layout: Layout, tables=tuple(LOGGED)) -> dict[str, int]:
-    return {
-        t: write_table(collapse(read_log(spark, layout, t), LOGGED[t]), layout.current(t)) for t in tables if t in LOGGED
-    }
+def refresh_current(
+    spark: SparkSession, layout: Layout, tables=tuple(LOGGED), after: str | None = None
+) -> dict[str, int | None]:
+    """Row counts of the current tables, None for one that had no change.
+
+    Collapses the whole log, or with ``after`` only the batches later than that onto the
+    tables as they are.
+    """
+    counts: dict[str, int | None] = {}
+    for table in (t for t in tables if t in LOGGED):
+        contract, location = LOGGED[table], layout.current(table)
+        if after is None or not table_exists(spark, f"{location}/_SUCCESS"):
+            counts[table] = write_table(collapse(read_log(spark, layout, table), contract), location)
+            continue
+        batches = read_log(spark, layout, table, after=after)
+        counts[table] = None
+        if not batches.isEmpty():
+            counts[table] = replace_table(collapse_onto(read_table(spark, location), batches, contract), location)
+    return counts
 
 
 def refresh_calendar(spark: SparkSession, layout: Layout, start: str | None = None, end: str | None = None) -> int:
@@ -147,21 +163,24 @@ def run_pipeline(
     as_of: date | None = None,
     full: bool = False,
     outlier_threshold: float = OUTLIER_REVENUE,
+    calendar_start: str | None = None,
+    calendar_end: str | None = None,
     **thresholds: int,
 ) -> dict:
     """Snapshots to marts.
 
-    The daily value mart recomputes only the months touched since the last finished run,
-    unless ``full``, on the first run, or after a run that did not finish: that one may
-    have replaced the facts which say where the deleted orders were.
+    After a finished run the current tables take in only the new log batches, and the daily
+    value mart recomputes only the months they touch. ``full``, the first run, and a run
+    after one that broke off start from the whole log: a broken one may have replaced the
+    facts which say where the deleted orders were.
     """
     report: dict = {"log": log_pending(spark, layout)}
     done = None if full else _finished_through(spark, layout)
     old_min = _batch_min(spark, layout, done) if done else None
     _record(spark, layout, done or "", finished=False)
 
-    report["current"] = refresh_current(spark, layout)
-    report["date_dim"] = refresh_calendar(spark, layout)
+    report["current"] = refresh_current(spark, layout, after=done)
+    report["date_dim"] = refresh_calendar(spark, layout, calendar_start, calendar_end)
     report["facts"] = refresh_facts(spark, layout, outlier_threshold)
     batch_min = None
     if done:

@@ -1,8 +1,10 @@
 from .changelog import logged_dates, read_log, write_log
 from .snapshots import pending_pairs, read_snapshot, resolve_pair, snapshot_dates
-from .tables import mart_months, read_table, remove_months, table_exists, write_months, write_table
+from .tables import (
+    mart_months, read_table, remove_months, replace_table, table_exists, write_months, write_table,
+)
 
 __all__ = [
     "logged_dates", "mart_months", "pending_pairs", "read_log", "read_snapshot", "read_table", "remove_months",
-    "resolve_pair", "snapshot_dates", "table_exists", "write_log", "write_months", "write_table",
+    "replace_table", "resolve_pair", "snapshot_dates", "table_exists", "write_log", "write_months", "write_table",
 ]

@@ -56,12 +56,13 @@ def test_dt_column_of_the_stored_log_is_not_source_data(spark):
 
 
 def test_incremental_collapse_equals_whole(spark):
-    old = keyed(spark, ("a", "1", 1.0, "I", 1), ("b", "1", 2.0, "I", 1), ("c", "1", 3.0, "I", 1))
-    new = keyed(spark, ("a", "1", 1.5, "U", 2), ("b", "1", 2.0, "D", 2), ("d", "1", 4.0, "I", 2))
+    old = keyed(spark, ("a", "1", 1.0, "I", 1), ("b", "1", 2.0, "I", 1), ("c", "1", 3.0, "I", 1), (None, "1", 3.0, "I", 1), (None, None, 3.0, "I", 1))
+    new = keyed(spark, ("a", "1", 1.5, "U", 2), ("b", "1", 2.0, "D", 2), ("d", "1", 4.0, "I", 2), (None, "1", None, "U", 2), (None, None, 3.0, "D", 2))
     whole = collapse(old.unionAll(new), ORDER_ITEMS)
     assert rows(collapse_onto(collapse(old, ORDER_ITEMS), new, ORDER_ITEMS)) == rows(whole)
 
-    old, new = bag(spark, *[("a", "x", "I")] * 3), bag(spark, ("a", "x", "D"), ("b", "y", "I"))
+    old = bag(spark, *[("a", "x", "I")] * 3, *[("a", None, "I")] * 2, ("c", "z", "I"), ("c", "z", "I"))
+    new = bag(spark, ("a", "x", "D"), ("b", "y", "I"), ("a", None, "D"), ("a", None, "D"), (None, None, "I"), ("b", "w", "I"), ("b", "w", "D"))
     whole = collapse(old.unionAll(new), ORDER_ITEM_OPTIONS)
     assert rows(collapse_onto(collapse(old, ORDER_ITEM_OPTIONS), new, ORDER_ITEM_OPTIONS)) == rows(whole)
 

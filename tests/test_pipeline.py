@@ -237,3 +237,15 @@ def test_snapshot_schema_can_be_given(spark, layout):
     df = read_snapshot(spark, layout, "2023-05-01", ORDER_ITEMS.name, SNAPSHOTS[ORDER_ITEMS.name])
     assert df.count() == 120 and df.schema["item_price"].dataType.simpleString() == "double"
     assert isinstance(TableContract("x").keys, tuple)
+
+
+def test_jobs_one_by_one_equal_the_pipeline(spark, layout, tmp_path):
+    from orderlake.__main__ import arguments, run
+    land(spark, layout, "2023-05-01")
+    for job in ("log", "current", "calendar", "facts", "marts"):
+        run(spark, arguments([layout.root, "--job", job, "--start", "2022-01-01", "--end", "2023-12-31", "--unknown", "x"]))
+    alone = Layout(str(tmp_path / "alone"))
+    land(spark, alone, "2023-05-01")
+    run(spark, arguments([alone.root, "--start", "2022-01-01", "--end", "2023-12-31"]))
+    assert contents(spark, layout) == contents(spark, alone)
+    assert read_table(spark, layout.current("date_dim")).count() == 730
