@@ -15,7 +15,7 @@ import duckdb
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 import __spark_entry__ as contract  # noqa: E402
-from orderlake.session import build_session  # noqa: E402
+from pyspark.sql import SparkSession  # noqa: E402
 
 DUCK_TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
@@ -64,7 +64,10 @@ def compare(spark, connection, sf_dir: str, name: str) -> list[str]:
 def main(arguments: list[str]) -> int:
     sf_dir = arguments[0] if arguments else "/root/testdata/sf0.01"
     names = arguments[1:] or list(contract.queries())
-    spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"})
+    # a session that knows nothing of this library: the queries bring their settings
+    builder = SparkSession.builder.appName("check").master("local[8]").config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.showConsoleProgress", "false")
+    spark = builder.config("spark.sql.shuffle.partitions", "8").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     connection = connect(sf_dir)
     failed = 0

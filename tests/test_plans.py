@@ -1,0 +1,74 @@
+"""What the plans must and must not contain to hold on large, skewed data."""
+
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+
+LAZY = [
+    "cdc_keyed_diff", "cdc_multiset_diff", "cdc_diff_range", "collapse_keyed", "collapse_multiset",
+    "collapse_incremental", "collapse_incremental_multiset", "adapt_change_feed", "holiday_dim", "date_dim",
+    "line_item_facts", "order_facts", "clv_daily_full", "clv_daily_opening", "clv_trends", "churn_indicators",
+    "loyalty_impact", "sales_daily", "discount_effectiveness", "report_sales_kpis", "report_churn_kpis",
+]
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture(scope="module")
+def plans(spark):
+    from registry.queries import QUERIES
+    return {name: plan(QUERIES[name](spark, SF_DIR)) for name in LAZY}
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_no_product_of_rows_and_no_python(plans, name):
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "MapInPandas"):
+        assert node not in plans[name]
+
+
+@pytest.mark.parametrize("name", LAZY)
+def test_only_aggregates_are_gathered_in_one_task(plans, name):
+    """A single-partition exchange may only carry the partial results of a global aggregate."""
+    lines = plans[name].splitlines()
+    for at, line in enumerate(lines):
+        if "Exchange SinglePartition" in line:
+            assert "partial_" in lines[at + 1], lines[at + 1]
+
+
+@pytest.mark.parametrize("name", ["cdc_multiset_diff", "line_item_facts", "order_facts", "churn_indicators", "sales_daily"])
+def test_rows_are_reduced_before_the_shuffle(plans, name):
+    assert "partial_" in plans[name]
+
+
+def test_latest_row_is_limited_before_the_shuffle(plans):
+    before_shuffle = plans["collapse_keyed"].split("Exchange hashpartitioning")[1]
+    assert "WindowGroupLimit" in before_shuffle
+
+
+def test_days_are_made_after_every_shuffle(plans):
+    days, rest = plans["clv_daily_full"].split("Exchange", 1)
+    assert "posexplode" in days and "posexplode" not in rest
+    assert plans["clv_daily_full"].count("Exchange") == 2
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    from orderlake.plans.customers import churn_indicators
+    from orderlake.plans.revenue import known_customers
+    columns = "user_id string, order_revenue double, order_date date, is_outlier boolean, order_id string, app_name string"
+    spark.createDataFrame([("u", 1.0, None, False, "o", "a")], columns).write.parquet(f"{tmp_path}/orders")
+    text = plan(churn_indicators(known_customers(spark.read.parquet(f"{tmp_path}/orders")), __import__("datetime").date(2023, 1, 1)))
+    assert "ReadSchema: struct<user_id:string,order_revenue:double,order_date:date,is_outlier:boolean>" in text
+    assert "IsNotNull(user_id)" in text
+
+
+def test_only_the_needed_month_of_the_mart_is_read(spark, tmp_path):
+    spark.range(3).selectExpr("id", "concat('2023-0', id + 1) as clv_month").write.partitionBy("clv_month").parquet(f"{tmp_path}/m")
+    mart = spark.read.parquet(f"{tmp_path}/m").filter(F.col("clv_month") == "2023-02")
+    assert "PartitionFilters: [isnotnull(clv_month" in plan(mart)
+    assert mart.count() == 1
