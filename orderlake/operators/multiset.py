@@ -38,7 +38,7 @@ def replicate(df: DataFrame, copies: Column, chunk: int = CHUNK) -> DataFrame:
     """Repeat every row ``copies`` times (a positive count).
 
     Both branches read the same shuffle. The second one is empty unless some row has
-    more than ``chunk`` copies, and then its chunks are dealt out by number.
+    more than ``chunk`` copies, and then its chunks are dealt out by row and number.
     """
     columns = df.columns
     counted = df.withColumn(_COPY, copies.cast("bigint"))
@@ -53,6 +53,6 @@ def replicate(df: DataFrame, copies: Column, chunk: int = CHUNK) -> DataFrame:
         counted.filter(size > chunk)
         .withColumn(_CHUNK_NO, F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_COPY} - 1) div {chunk}"))))
         .withColumn(_COPY, F.least(F.lit(chunk).cast("bigint"), size - chunk_number * chunk))
-        .repartition(chunk_number)
+        .repartition(*columns, chunk_number)
     )
     return expanded(few).unionAll(expanded(many))

@@ -57,6 +57,15 @@ def test_days_are_made_after_every_shuffle(plans):
     assert plans["clv_daily_full"].count("Exchange") == 2
 
 
+def test_months_are_gathered_before_days_are_made(spark):
+    from datetime import date
+    from orderlake.plans.customers import daily_from_spans, value_spans
+    from registry.star_schema import purchases
+    spans = value_spans(purchases(spark, SF_DIR), date(2024, 1, 1), date(2024, 1, 30)).hint("rebalance", "clv_month")
+    days, rest = plan(daily_from_spans(spans)).split("REBALANCE_PARTITIONS_BY_COL", 1)
+    assert "posexplode" in days and "posexplode" not in rest
+
+
 def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     from orderlake.plans.customers import churn_indicators
     from orderlake.plans.revenue import known_customers
