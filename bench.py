@@ -10,8 +10,8 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
+import uuid
 from datetime import date
 from pathlib import Path
 
@@ -64,7 +64,7 @@ def main() -> None:
         timed(name, lambda n=name: run(QUERIES[n](spark, SF_DIR)))
 
     # facts once, then every mart and its reports from storage
-    lake = Layout(tempfile.mkdtemp(prefix="bench-", dir=shared_directory(spark).removeprefix("file:")))
+    lake = Layout(f"{shared_directory(spark)}/bench-{uuid.uuid4().hex}")
     lines, orders = lake.fact("order_line_items"), lake.fact("orders")
     items, options = lake.current("order_items"), lake.current("order_item_options")
     write_table(star.order_items(spark, SF_DIR), items)
@@ -103,7 +103,7 @@ def main() -> None:
     timed("report_at_risk", lambda: run(reports.at_risk_customers(churn)))
 
     # the pipeline on two snapshots: the orders up to the last year, then all of them
-    root = Layout(tempfile.mkdtemp(prefix="bench-", dir=shared_directory(spark).removeprefix("file:")))
+    root = Layout(f"{shared_directory(spark)}/bench-{uuid.uuid4().hex}")
     land(spark, root, "2001-01-01", before=f"{as_of.year}-01-01")
     timed("pipeline_first_run", lambda: pipeline.run_pipeline(spark, root, outlier_threshold=star.ORDER_OUTLIER), 1)
     land(spark, root, "2001-08-02")

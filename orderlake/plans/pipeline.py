@@ -73,6 +73,7 @@ def log_pair(
     spark: SparkSession, layout: Layout, current: str | None = None, previous: str | None = None, tables=tuple(LOGGED)
 ) -> dict[str, dict[str, int]]:
     """Log one chosen pair of snapshots (default: the last two)."""
+    _open_run(spark, layout)
     current, previous = resolve_pair(snapshot_dates(spark, layout), current, previous)
     return {t: log_snapshot(spark, layout, CONTRACTS[t], current, previous) for t in tables if t in LOGGED}
 
@@ -85,6 +86,7 @@ def refresh_current(
     Collapses the whole log, or with ``after`` only the batches later than that onto the
     tables as they are.
     """
+    _open_run(spark, layout)
     counts: dict[str, int | None] = {}
     for table in (t for t in tables if t in LOGGED):
         contract, location = LOGGED[table], layout.current(table)
@@ -108,6 +110,7 @@ def refresh_calendar(spark: SparkSession, layout: Layout, start: str | None = No
 
 
 def refresh_facts(spark: SparkSession, layout: Layout, outlier_threshold: float = OUTLIER_REVENUE) -> dict[str, int]:
+    _open_run(spark, layout)
     items = read_table(spark, layout.current(ORDER_ITEMS.name))
     options = read_table(spark, layout.current(ORDER_ITEM_OPTIONS.name))
     lines = write_table(line_item_facts(items, options, outlier_threshold), layout.fact(LINES))
@@ -177,8 +180,6 @@ def run_pipeline(
     report: dict = {"log": log_pending(spark, layout)}
     done = None if full else _finished_through(spark, layout)
     old_min = _batch_min(spark, layout, done) if done else None
-    _record(spark, layout, done or "", finished=False)
-
     report["current"] = refresh_current(spark, layout, after=done)
     report["date_dim"] = refresh_calendar(spark, layout, calendar_start, calendar_end)
     report["facts"] = refresh_facts(spark, layout, outlier_threshold)
@@ -203,6 +204,16 @@ def _finished_through(spark: SparkSession, layout: Layout) -> str | None:
     return last["through"] if last["finished"] else None
 
 
+def _open_run(spark: SparkSession, layout: Layout) -> None:
+    """Note that log, tables or facts are about to change apart from the marts.
+
+    Every job that changes them says so, also when called alone: until a whole run has
+    finished again, nobody can tell from the facts which days the marts are missing.
+    """
+    if _finished_through(spark, layout) is not None:
+        _record(spark, layout, "", finished=False)
+
+
 def _record(spark: SparkSession, layout: Layout, through: str, finished: bool) -> None:
     row = spark.range(1).select(F.lit(through).alias("through"), F.lit(finished).alias("finished"))
     row.write.mode("overwrite").parquet(layout.progress)

@@ -221,6 +221,21 @@ def test_a_run_that_broke_off_is_followed_by_a_full_one(spark, layout, tmp_path,
     assert contents(spark, layout) == contents(spark, alone)
 
 
+def test_single_jobs_between_runs_lose_no_deletion(spark, layout, tmp_path):
+    land(spark, layout, "2023-05-01")
+    pipeline.run_pipeline(spark, layout)
+    land(spark, layout, "2023-05-02", keep=lambda i: i != 3)
+    pipeline.log_pending(spark, layout)
+    pipeline.refresh_current(spark, layout)
+    pipeline.refresh_facts(spark, layout)  # the facts no longer say when order 3 was
+    pipeline.run_pipeline(spark, layout)
+
+    alone = Layout(str(tmp_path / "alone"))
+    land(spark, alone, "2023-05-02", keep=lambda i: i != 3)
+    pipeline.run_pipeline(spark, alone)
+    assert contents(spark, layout) == contents(spark, alone)
+
+
 def test_one_chosen_pair(spark, layout):
     land(spark, layout, "2023-05-01", keep=lambda i: i < 50)
     land(spark, layout, "2023-05-02")

@@ -1,5 +1,6 @@
 """What the plans must and must not contain to hold on large, skewed data."""
 
+from datetime import date
 from pathlib import Path
 
 import pytest
@@ -58,7 +59,6 @@ def test_days_are_made_after_every_shuffle(plans):
 
 
 def test_months_are_gathered_before_days_are_made(spark):
-    from datetime import date
     from orderlake.plans.customers import daily_from_spans, value_spans
     from registry.star_schema import purchases
     spans = value_spans(purchases(spark, SF_DIR), date(2024, 1, 1), date(2024, 1, 30)).hint("rebalance", "clv_month")
@@ -71,7 +71,7 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     from orderlake.plans.revenue import known_customers
     columns = "user_id string, order_revenue double, order_date date, is_outlier boolean, order_id string, app_name string"
     spark.createDataFrame([("u", 1.0, None, False, "o", "a")], columns).write.parquet(f"{tmp_path}/orders")
-    text = plan(churn_indicators(known_customers(spark.read.parquet(f"{tmp_path}/orders")), __import__("datetime").date(2023, 1, 1)))
+    text = plan(churn_indicators(known_customers(spark.read.parquet(f"{tmp_path}/orders")), date(2023, 1, 1)))
     assert "ReadSchema: struct<user_id:string,order_revenue:double,order_date:date,is_outlier:boolean>" in text
     assert "IsNotNull(user_id)" in text
 
