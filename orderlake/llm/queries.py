@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality
+from . import packing, quality, simhash
 from .common import ROW, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +63,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR capitals * 10 > letters * 7) AS kept
 FROM based
 """
+
+
+@query
+def op2_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
