@@ -7,6 +7,9 @@ All other texts (other scripts, control characters, special tokens) go through t
 
 from __future__ import annotations
 
+import sys
+import types
+
 import regex
 from tokenizers import Tokenizer
 
@@ -45,4 +48,8 @@ class PieceIds(dict):
 
 
 def load(path: str) -> PieceIds:
-    return PieceIds(Tokenizer.from_file(path))
+    """The encoder of this worker process; what it remembers serves every task of the worker."""
+    shared = sys.modules.setdefault("_piece_ids", types.ModuleType("_piece_ids")).__dict__
+    if path not in shared:
+        shared[path] = PieceIds(Tokenizer.from_file(path))
+    return shared[path]
