@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, simhash, suffix
+from . import decontaminate, language, licenses, packing, quality, simhash, suffix
 from .common import ROW, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,19 @@ def op7_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op1_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+ORACLES["op1_license_diagonals"] = licenses.oracle()
+
+
+@query
+def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", language.held_out(F.col("doc_id"), 3, 1))
+    langs, model = language.learn(docs.filter("NOT held_out AND lang IS NOT NULL AND doc_id IS NOT NULL"))
+    return language.identify(docs, langs, model)
