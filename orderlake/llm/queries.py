@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, packing, quality, simhash, suffix
+from . import decontaminate, language, licenses, packing, quality, simhash, suffix, toxicity
 from .common import ROW, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,3 +101,10 @@ def op10_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("held_out", language.held_out(F.col("doc_id"), 3, 1))
     langs, model = language.learn(docs.filter("NOT held_out AND lang IS NOT NULL AND doc_id IS NOT NULL"))
     return language.identify(docs, langs, model)
+
+
+@query
+def op6_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    model = toxicity.learn(toxicity.training_rows(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
+    return toxicity.score(docs, model)
