@@ -17,25 +17,47 @@ from tokenizers import Tokenizer
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Characters whose lower case and class are the same in every Unicode version; no composition among them.
 PLAIN = regex.compile(r"[\t-\r -~¡-įı-ɏ‐-―‘-‟†-…€]*+")
-#: Pieces remembered at once by a task.
+#: Pieces remembered in a generation.
 MEMORY = 300_000
 
 
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: a printable byte is its own letter, the others follow from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+LETTERS = _byte_letters()
+
+
 class PieceIds(dict):
-    """Ids of a piece, as little-endian unsigned 32-bit bytes."""
+    """Ids of a piece, as little-endian unsigned 32-bit bytes.
+
+    Two generations are remembered: what is still used when the younger one is full moves on.
+    """
 
     def __init__(self, tokenizer: Tokenizer):
         super().__init__()
         self.tokenizer = tokenizer
+        self.old: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.whole(piece)
         if len(self) >= MEMORY:
+            self.old = dict(self)
             self.clear()
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.piece(piece)
         if len(piece) <= 100:  # a long run is not worth remembering
             self[piece] = ids
         return ids
 
+    def piece(self, piece: str) -> bytes:
+        """Ids of what the splitter would leave whole."""
+        spelled = piece.encode().decode("latin-1").translate(LETTERS)
+        return b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(spelled))
+
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return b"".join(i.to_bytes(4, "little") for i in ids)
