@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, packing, quality, simhash, suffix, toxicity
-from .common import ROW, read
+from . import decontaminate, html, language, licenses, packing, quality, shards, simhash, suffix, toxicity
+from .common import ROW, read, shared_directory
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,3 +109,15 @@ def op6_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     model = toxicity.learn(toxicity.training_rows(docs, read(spark, sf_dir, "labels", "doc_id", "toxic")))
     return toxicity.score(docs, model)
+
+
+@query
+def op8_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(read(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query
+def op4_training_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = f"{shared_directory(spark)}/shards-{uuid.uuid4().hex}"
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return shards.write_shards(docs, root, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
