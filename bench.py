@@ -87,7 +87,6 @@ def main() -> None:
         "clv_trends": lambda: customers.value_trends(read_table(spark, daily)),
         "customer_clv_tiers": lambda: customers.value_tiers(named),
         "customer_rfm": lambda: customers.recency_frequency_monetary(dated, as_of),
-        "customer_rfm_distributed": lambda: customers.recency_frequency_monetary(dated, as_of, one_task_limit=0),
         "churn_indicators": lambda: customers.churn_indicators(dated, as_of),
         "sales_daily": lambda: commerce.sales_daily(sold, calendar),
         "loyalty_impact": lambda: customers.loyalty_impact(named),

@@ -30,10 +30,24 @@ CALENDAR_COLUMNS = ("year", "month", "week", "day_of_week", "is_weekend", "is_ho
 TIERS = ("High", "Medium", "Low")
 CHURN_STATES = ("Active", "At Risk", "Dormant")
 LOYALTY_SEGMENTS = ("Loyalty", "Non-Loyalty")
+# Columns of the daily value mart and of the list of customers at risk.
+DAILY_COLUMNS = (
+    "user_id", "clv_date", "clv_month", "first_order_date",
+    "daily_revenue", "daily_order_count", "cumulative_clv", "cumulative_order_count",
+)
+AT_RISK_COLUMNS = (
+    "user_id", "last_order_date", "days_since_last_order", "total_orders",
+    "avg_gap_days", "spend_change_pct", "churn_status",
+)
+# Segments of customers, the first that applies; R, F, M are scores from 1 to 5.
+SEGMENT_RULE = """CASE
+    WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'VIP'
+    WHEN r_score >= 4 AND f_score <= 2 THEN 'New'
+    WHEN r_score <= 2 AND f_score <= 2 THEN 'Churn Risk'
+    ELSE 'Regular' END"""
 # Default thresholds.
 OUTLIER_REVENUE = 10000.0
 LOOKBACK_MONTHS = 12
-HIGH_SCORE, LOW_SCORE = 4, 2
 AT_RISK_DAYS, DORMANT_DAYS, PERIOD_DAYS = 45, 90, 30
 # ---------------------------------------------------------------------------
 

@@ -15,12 +15,11 @@ from pyspark.sql import functions as F
 
 # Reserved prefix: cannot meet a source column called "count" or the like.
 NET = "__orderlake_net"
-_CHUNK_NO = "__orderlake_chunk"
+_RUN_NO = "__orderlake_run"
 _COPY = "__orderlake_copy"
 
-# Copies made from one record within one task; larger multiplicities are first cut
-# into records of this size and spread over the cluster.
-CHUNK = 65_536
+# length of the arrays from which copies are made
+_RUN = 4096
 
 
 def net_rows(sides: Sequence[tuple[DataFrame, Column]], columns: Sequence[str]) -> DataFrame:
@@ -34,25 +33,15 @@ def net_rows(sides: Sequence[tuple[DataFrame, Column]], columns: Sequence[str])
     )
 
 
-def replicate(df: DataFrame, copies: Column, chunk: int = CHUNK) -> DataFrame:
+def replicate(df: DataFrame, copies: Column) -> DataFrame:
     """Repeat every row ``copies`` times (a positive count).
 
-    Both branches read the same shuffle. The second one is empty unless some row has
-    more than ``chunk`` copies, and then its chunks are dealt out by row and number.
+    Copies are made in runs, so that no array grows with the count. Writers spread the
+    result by its size (rebalance), in case one row has most of the copies.
     """
     columns = df.columns
     counted = df.withColumn(_COPY, copies.cast("bigint"))
-    size = F.col(_COPY)
-
-    def expanded(rows: DataFrame) -> DataFrame:
-        return rows.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), size)).alias(_COPY)).drop(_COPY)
-
-    few = counted.filter(size <= chunk)
-    chunk_number = F.col(_CHUNK_NO)
-    many = (
-        counted.filter(size > chunk)
-        .withColumn(_CHUNK_NO, F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_COPY} - 1) div {chunk}"))))
-        .withColumn(_COPY, F.least(F.lit(chunk).cast("bigint"), size - chunk_number * chunk))
-        .repartition(*columns, chunk_number)
-    )
-    return expanded(few).unionAll(expanded(many))
+    runs = F.sequence(F.lit(0).cast("bigint"), F.expr(f"({_COPY} - 1) div {_RUN}"))
+    cut = counted.select(*columns, _COPY, F.explode(runs).alias(_RUN_NO))
+    left = F.least(F.lit(_RUN).cast("bigint"), F.col(_COPY) - F.col(_RUN_NO) * _RUN)
+    return cut.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), left)).alias(_COPY)).drop(_COPY)

@@ -1,13 +1,13 @@
 """Ranks over a whole table.
 
-A window without PARTITION BY sorts every row in one task. That is used only for a
-table counted to have at most ``one_task_limit`` rows. Beyond it the rows are
-range-partitioned and sorted, and ``monotonically_increasing_id`` numbers them as
-(partition number, row number in the partition). Those ids grow with the global order,
-so the driver only needs the size of each partition, one number per partition, to say
-at which id every bucket starts.
-
-The ranked rows are made durable first: range bounds come from sampling, and every pass
+A window without PARTITION BY would sort every row in one task. Instead the values that
+are ranked, and nothing else, are range-partitioned and sorted, and
+``monotonically_increasing_id`` numbers them as (partition number, row number in the
+partition). Those ids grow with the global order, so the driver only needs the size of
+each partition, one number per partition, to say at which id every bucket starts. The rows at
+these few places are the boundaries, and the table is scored by comparing each row with them.
+
+The sorted values are made durable first: range bounds come from sampling, and every pass
 must see the same ones even if an executor is lost in between.
 """
 
@@ -18,7 +18,7 @@ from collections.abc import Mapping, Sequence
 from itertools import accumulate
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import durable
@@ -28,9 +28,6 @@ _PARTITION = "__orderlake_partition"
 # monotonically_increasing_id keeps the row number in its low 33 bits
 _ROW_BITS = 33
 
-# rows one task sorts at ease
-ONE_TASK = 100_000
-
 
 class _Numbered:
     """Rows in a global order plus what is needed to turn a position into an id."""
@@ -62,28 +59,37 @@ class _Numbered:
         )
 
 
-def ntiles(
-    df: DataFrame, buckets: int, orders: Mapping[str, Sequence[Column]], one_task_limit: int = ONE_TASK
-) -> DataFrame:
-    """SQL ``ntile(buckets)`` over each order, which must be total to be repeatable."""
-    rows = durable(df)
-    if rows.count() <= one_task_limit:
-        ranked = {name: F.ntile(buckets).over(Window.orderBy(*order)) for name, order in orders.items()}
-        return rows.withColumns(ranked)
-    for name, order in orders.items():
-        numbered = _Numbered(rows, order)
-        size, larger = divmod(numbered.total, buckets)
-        starts = (b * size + min(b, larger) for b in range(1, buckets))
-        reached = (F.col(_ID) >= numbered.id_at(s) for s in starts if s < numbered.total)
-        rows = numbered.rows.withColumn(name, sum((r.cast("int") for r in reached), F.lit(1))).drop(_ID)
-    return rows
+def _sort_key(value: str, descending: bool, key: str) -> Column:
+    """What orders rows by ``value``, then ``key``, under plain ascending comparison; NULL is the smallest value."""
+    v = F.col(value)
+    return F.struct(
+        (v.isNull() if descending else v.isNotNull()).alias("null"), (-v if descending else v).alias("value"), F.col(key).alias("key")
+    )
 
 
-def dense_rank(df: DataFrame, value: str, name: str, one_task_limit: int = ONE_TASK) -> DataFrame:
+def ntiles(df: DataFrame, buckets: int, orders: Mapping[str, tuple[str, bool]], key: str) -> DataFrame:
+    """SQL ``ntile(buckets)`` over each order, given as (number column, descending); ``key`` is unique and settles ties."""
+    rows = durable(df)  # a sum of doubles must be the same bits in the sort and in the comparison
+    scores = {}
+    for name, (value, descending) in orders.items():
+        place = _sort_key(value, descending, key)
+        numbered = _Numbered(rows.select(place.alias("place")).select("place.*"), [F.col(c) for c in ("null", "value", "key")])
+        size, larger = divmod(numbered.total, buckets)
+        starts = [b * size + min(b, larger) for b in range(1, buckets)]
+        ids = [numbered.id_at(s) for s in starts if s < numbered.total]
+        found = numbered.rows.filter(F.col(_ID).isin(ids)).select("null", "value", "key").collect()  # buckets - 1 rows
+        kinds = {f.name: f.dataType for f in numbered.rows.schema}
+        score = F.lit(1)
+        for boundary in found:
+            literal = F.struct(*(F.lit(boundary[c]).cast(kinds[c]).alias(c) for c in ("null", "value", "key")))
+            score = score + (place >= literal).cast("int")
+        scores[name] = score
+    return rows.withColumns(scores)
+
+
+def dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """SQL ``dense_rank`` by ``value`` descending: the place of the value among the distinct ones."""
     rows = durable(df)  # the values must be the same bits on both sides of the join
-    if rows.count() <= one_task_limit:
-        return rows.withColumn(name, F.dense_rank().over(Window.orderBy(F.col(value).desc())))
     ranked = _Numbered(rows.select(value).distinct(), [F.col(value).desc()]).with_position(name)
     places = ranked.select(F.col(value).alias("__orderlake_value"), (F.col(name) + 1).cast("int").alias(name))
     return rows.join(places, F.col(value).eqNullSafe(F.col("__orderlake_value")), "left").drop("__orderlake_value")

@@ -1,9 +1,9 @@
 """Change log from consecutive full snapshots.
 
-Both kinds of table start the same way: count current rows as +1 and previous rows as
--1 and keep the rows whose sum is not zero. For a multiset that is the answer. For a
-keyed table the few surviving rows are then paired by key, so the full snapshots are
-shuffled once, on whole rows, and a NULL or repeated key can never fan out.
+A multiset counts current rows as +1 and previous rows as -1 and keeps the rows whose sum
+is not zero. A keyed table is grouped by key once, both sides together: each side has at
+most one row for a key, which is checked, and the two images are compared NULL-safe. Either way
+the snapshots are shuffled once and nothing can fan out.
 """
 
 from __future__ import annotations
@@ -19,8 +19,8 @@ from ..functions import without_load_metadata
 from ..operators import net_rows, replicate
 from ..operators.multiset import NET
 
-ARRIVED, LEFT = "__orderlake_arrived", "__orderlake_left"
-AFTER, BEFORE = "__orderlake_after", "__orderlake_before"
+NOW, BEFORE = "__orderlake_now", "__orderlake_before"
+COPIES = "__orderlake_copies"
 
 
 def capture_changes(
@@ -33,44 +33,54 @@ def capture_changes(
 ) -> DataFrame:
     """Log rows (source columns, Op, headers) that turn ``previous`` into ``current``.
 
-    Without a previous snapshot every row is an insert, duplicates included.
+    Without a previous snapshot every row is an insert, duplicates of a multiset included.
+    A snapshot that repeats a key of a keyed table fails, the first one too.
     """
     now = without_load_metadata(current, metadata)
     columns = now.columns
-    if previous is None:
+    before = None if previous is None else without_load_metadata(previous, metadata).select(*columns)
+    if contract.keys:
+        changes = keyed_changes(now, before, contract.keys)
+    elif before is None:
         changes = now.withColumn("Op", F.lit("I"))
     else:
-        before = without_load_metadata(previous, metadata)
-        net = net_rows([(now, F.lit(1)), (before, F.lit(-1))], columns)
-        changes = keyed_changes(net, contract.keys) if contract.keys else multiset_changes(net)
+        changes = multiset_changes(net_rows([(now, F.lit(1)), (before, F.lit(-1))], columns))
     return with_change_headers(changes, snapshot_dt, batch_ts or snapshot_dt)
 
 
-def keyed_changes(net: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One I, U or D per key out of the rows that differ between two snapshots.
+def keyed_changes(now: DataFrame, before: DataFrame | None, keys: Sequence[str]) -> DataFrame:
+    """One I, U or D per key whose row differs between two snapshots.
 
-    U and I carry the new row, D the last known one. A key that arrives or leaves with
-    more than one row breaks the table's contract and fails the job instead of yielding
-    an arbitrary pick.
+    U and I carry the new row, D the last known one. A key with more than one row in a
+    snapshot breaks the table's contract and fails the job, whether it changed or not: which of
+    its rows would be the current one is unknown.
     """
-    columns = [c for c in net.columns if c != NET]
-    row, n = F.struct(*columns), F.col(NET)
-    paired = net.groupBy(*keys).agg(
-        F.sum(F.when(n > 0, n)).alias(ARRIVED),
-        F.sum(F.when(n < 0, -n)).alias(LEFT),
-        F.max(F.when(n > 0, row)).alias(AFTER),
-        F.max(F.when(n < 0, row)).alias(BEFORE),
+    row, is_now = F.struct(*now.columns), F.col(NOW)
+    sides = now.withColumn(NOW, F.lit(True))
+    if before is not None:
+        sides = sides.unionAll(before.withColumn(NOW, F.lit(False)))
+    paired = sides.groupBy(*(F.col(k).alias(f"__orderlake_key{i}") for i, k in enumerate(keys))).agg(
+        F.count_if(is_now).alias(COPIES),
+        F.count_if(~is_now).alias(f"{COPIES}_before"),
+        F.max(F.when(is_now, row)).alias(NOW),
+        F.max(F.when(~is_now, row)).alias(BEFORE),
     )
-    key_text = F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys))
+    copies, copies_before = F.col(COPIES), F.col(f"{COPIES}_before")
+    key_text = F.concat_ws(", ", *(F.coalesce(F.col(f"__orderlake_key{i}").cast("string"), F.lit("NULL")) for i in range(len(keys))))
     repeated = F.raise_error(F.concat(F.lit("key is not unique in a snapshot: "), key_text)).cast("string")
     op = (
-        F.when((F.col(ARRIVED) > 1) | (F.col(LEFT) > 1), repeated)
-        .when(F.col(LEFT).isNull(), "I")
-        .when(F.col(ARRIVED).isNull(), "D")
-        .otherwise("U")
+        F.when((copies > 1) | (copies_before > 1), repeated)
+        .when(copies_before == 0, "I")
+        .when(copies == 0, "D")
+        .when(~F.col(NOW).eqNullSafe(F.col(BEFORE)), "U")
     )
-    image = F.coalesce(F.col(AFTER), F.col(BEFORE))
-    return paired.select(op.alias("Op"), image.alias(AFTER)).select(f"{AFTER}.*", "Op")
+    image = F.coalesce(F.col(NOW), F.col(BEFORE))
+    return paired.select(op.alias("Op"), image.alias(NOW)).filter(F.col("Op").isNotNull()).select(f"{NOW}.*", "Op")
+
+
+def repeated_keys(snapshot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys with more than one row, and how many: what makes a keyed snapshot fail."""
+    return snapshot.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
 
 
 def multiset_changes(net: DataFrame) -> DataFrame:

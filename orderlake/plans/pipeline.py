@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,7 +92,8 @@ def refresh_current(
     for table in (t for t in tables if t in LOGGED):
         contract, location = LOGGED[table], layout.current(table)
         if after is None or not table_exists(spark, f"{location}/_SUCCESS"):
-            counts[table] = write_table(collapse(read_log(spark, layout, table), contract), location)
+            rows = collapse(read_log(spark, layout, table), contract)
+            counts[table] = write_table(rows.hint("rebalance"), location)
             continue
         batches = read_log(spark, layout, table, after=after)
         counts[table] = None
@@ -119,8 +121,8 @@ def refresh_facts(spark: SparkSession, layout: Layout, outlier_threshold: float
 
 
 def _changed_orders(spark: SparkSession, layout: Layout, after: str) -> DataFrame:
-    logs = [read_log(spark, layout, t, after=after).select("order_id") for t in LOGGED]
-    return logs[0].unionAll(logs[1]).distinct()
+    logs = (read_log(spark, layout, t, after=after).select("order_id") for t in LOGGED)
+    return reduce(DataFrame.unionAll, logs).distinct()
 
 
 def refresh_marts(
@@ -177,8 +179,11 @@ def run_pipeline(
     after one that broke off start from the whole log: a broken one may have replaced the
     facts which say where the deleted orders were.
     """
+    parameters = repr(sorted({**thresholds, "outlier_threshold": outlier_threshold}.items()))
     report: dict = {"log": log_pending(spark, layout)}
-    done = None if full else _finished_through(spark, layout)
+    done = None if full else _finished_through(spark, layout, parameters)
+    if done and any(dt <= done for batches in report["log"].values() for dt in batches):
+        done = None  # a step that the tables already hold was logged anew
     old_min = _batch_min(spark, layout, done) if done else None
     report["current"] = refresh_current(spark, layout, after=done)
     report["date_dim"] = refresh_calendar(spark, layout, calendar_start, calendar_end)
@@ -188,7 +193,7 @@ def run_pipeline(
         # with no change at all the mart only has to reach the new as_of
         batch_min = min((d for d in (old_min, _batch_min(spark, layout, done)) if d), default=date.max)
     report["marts"] = refresh_marts(spark, layout, as_of, batch_min, **thresholds)
-    _record(spark, layout, logged_dates(spark, layout, ORDER_ITEMS.name)[-1], finished=True)
+    _record(spark, layout, logged_dates(spark, layout, ORDER_ITEMS.name)[-1], True, parameters)
     return report
 
 
@@ -196,12 +201,13 @@ def _batch_min(spark: SparkSession, layout: Layout, after: str) -> date | None:
     return affected_since(_changed_orders(spark, layout, after), [read_table(spark, layout.fact(ORDERS))])
 
 
-def _finished_through(spark: SparkSession, layout: Layout) -> str | None:
-    """Last log batch the marts contain, or None if a run is open or there was none."""
+def _finished_through(spark: SparkSession, layout: Layout, parameters: str | None = None) -> str | None:
+    """Last log batch the marts contain, or None if a run is open, there was none, or it had other ``parameters``."""
     if not table_exists(spark, f"{layout.progress}/_SUCCESS"):
         return None
     last = read_table(spark, layout.progress).first()
-    return last["through"] if last["finished"] else None
+    same = parameters is None or last.asDict().get("parameters") == parameters
+    return last["through"] if last["finished"] and same else None
 
 
 def _open_run(spark: SparkSession, layout: Layout) -> None:
@@ -211,9 +217,10 @@ def _open_run(spark: SparkSession, layout: Layout) -> None:
     finished again, nobody can tell from the facts which days the marts are missing.
     """
     if _finished_through(spark, layout) is not None:
-        _record(spark, layout, "", finished=False)
+        _record(spark, layout, "", False, "")
 
 
-def _record(spark: SparkSession, layout: Layout, through: str, finished: bool) -> None:
-    row = spark.range(1).select(F.lit(through).alias("through"), F.lit(finished).alias("finished"))
+def _record(spark: SparkSession, layout: Layout, through: str, finished: bool, parameters: str) -> None:
+    values = {"through": through, "finished": finished, "parameters": parameters}
+    row = spark.range(1).select(*(F.lit(v).alias(n) for n, v in values.items()))
     row.write.mode("overwrite").parquet(layout.progress)

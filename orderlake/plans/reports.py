@@ -7,14 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contract import CHURN_STATES, LOYALTY_SEGMENTS, TIERS
+from ..contract import AT_RISK_COLUMNS, CHURN_STATES, LOYALTY_SEGMENTS, TIERS
 from ..operators import exact_median
 
-AT_RISK_COLUMNS = (
-    "user_id", "last_order_date", "days_since_last_order", "total_orders",
-    "avg_gap_days", "spend_change_pct", "churn_status",
-)
-
 
 def _in_domain(summary: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
     """``summary`` in the fixed order of ``domain``, members without rows included."""
@@ -53,7 +48,7 @@ def rfm_kpis(rfm: DataFrame) -> DataFrame:
     )
 
 
-def rfm_sample(rfm: DataFrame, size: int = 4000, seed: str = "1") -> DataFrame:
+def rfm_sample(rfm: DataFrame, size: int, seed: str = "1") -> DataFrame:
     """A repeatable sample: the customers whose seeded digest is smallest."""
     digest = F.md5(F.concat(F.lit(seed), F.col("user_id")))
     return rfm.orderBy(digest, "user_id").limit(size).select("user_id", "frequency", "monetary", "rfm_segment")
@@ -76,20 +71,25 @@ def churn_kpis(churn: DataFrame) -> DataFrame:
 
 
 def churn_histogram(churn: DataFrame, bins: int = 52, longest: int = 365) -> DataFrame:
-    """Customers per equal-width bin of days since the last order; ``longest`` falls in the bin above the last."""
+    """Customers per equal-width bin of days since the last order; the bin above the last has all from ``longest`` on."""
     days = F.col("days_since_last_order")
     bin_no = F.width_bucket(days.cast("double"), F.lit(0.0), F.lit(float(longest)), F.lit(bins))
     return (
-        churn.filter(days <= longest)
+        churn.filter(days.isNotNull())
         .groupBy(bin_no.cast("int").alias("bin"))
         .agg(F.min(days).alias("first_days"), F.max(days).alias("last_days"), F.count(F.lit(1)).alias("customers"))
         .orderBy("bin")
     )
 
 
-def at_risk_customers(churn: DataFrame, limit: int = 500) -> DataFrame:
-    longest_first = churn.filter("at_risk").orderBy(F.desc("days_since_last_order"), "user_id")
-    return longest_first.limit(limit).select(*AT_RISK_COLUMNS)
+def at_risk_customers(churn: DataFrame, limit: int | None = None) -> DataFrame:
+    """All customers at risk, the longest silent first; a page of the list is the caller's ``limit``."""
+    longest_first = churn.filter("at_risk").orderBy(F.desc("days_since_last_order"), "user_id").select(*AT_RISK_COLUMNS)
+    return longest_first if limit is None else longest_first.limit(limit)
+
+
+def at_risk_total(churn: DataFrame) -> DataFrame:
+    return churn.agg(F.count_if("at_risk").alias("customers"))
 
 
 # sales ---------------------------------------------------------------------

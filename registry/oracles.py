@@ -21,18 +21,21 @@ ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_
 SHIPMENT_COLUMNS = ["l_linenumber", "l_returnflag", "l_linestatus", "l_quantity"]
 
 
+def in_snapshot(event_day: str, day: str) -> str:
+    archived = "" if day == SNAPSHOT_DAYS[0] else f" AND {event_day} > CAST(DATE '{day}' - INTERVAL 48 MONTH AS DATE)"
+    return f"{event_day} <= DATE '{day}'{archived}"
+
+
 def orders_as_of(day: str) -> str:
     return f"""(SELECT o_orderkey, o_custkey,
         CASE WHEN CAST(o_orderdate AS DATE) > DATE '{day}' - 60 THEN 'O' ELSE o_orderstatus END AS o_orderstatus,
         o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
-      FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '{day}'
-        AND CAST(o_orderdate AS DATE) > CAST(DATE '{day}' - INTERVAL 48 MONTH AS DATE))"""
+      FROM orders WHERE {in_snapshot("CAST(o_orderdate AS DATE)", day)})"""
 
 
 def shipments_as_of(day: str) -> str:
     return f"""(SELECT l_linenumber, l_returnflag, l_linestatus, CAST(l_quantity AS INTEGER) AS l_quantity
-      FROM lineitem WHERE CAST(l_shipdate AS DATE) <= DATE '{day}'
-        AND CAST(l_shipdate AS DATE) > CAST(DATE '{day}' - INTERVAL 48 MONTH AS DATE))"""
+      FROM lineitem WHERE {in_snapshot("CAST(l_shipdate AS DATE)", day)})"""
 
 
 def keyed_changes(now: str, before: str | None) -> str:
@@ -63,7 +66,12 @@ def multiset_changes(now: str, before: str) -> str:
 HASHED = ["o_custkey", "o_orderkey", "o_orderpriority", "o_orderstatus"]  # in name order
 ORDERS3 = ", ".join(money(c) + f" AS {c}" if c == "o_totalprice" else c for c in ORDER_COLUMNS)
 
-ORACLES["normalize_columns"] = f"SELECT * FROM {orders_as_of(DAY3)}"
+ORACLES["normalize_columns"] = "SELECT * FROM orders"
+ORACLES["cdc_repeated_keys"] = " UNION ALL ".join(
+    f"SELECT '{day}' AS snapshot_dt, l_orderkey, l_linenumber, count(*) AS copies FROM lineitem "
+    f"WHERE {in_snapshot('CAST(l_shipdate AS DATE)', day)} GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1"
+    for day in SNAPSHOT_DAYS
+)
 ORACLES["row_hash"] = f"""
 SELECT o_orderkey, sha256(concat_ws('||', {", ".join(f"coalesce(CAST({c} AS VARCHAR), '__NULL__')" for c in HASHED)}))
   AS row_hash FROM orders"""
@@ -83,8 +91,8 @@ SELECT cdc_snapshot_dt, Op, min(batch) AS first_batch, max(batch) AS last_batch,
        count(*) AS sequences, count(*) AS changes, cdc_snapshot_dt || ' 00:00:00' AS commit_ts, count(*) AS stamped
 FROM h GROUP BY cdc_snapshot_dt, Op"""
 ORACLES["snapshot_dates"] = f"""
-SELECT snapshot_dt, lag(snapshot_dt) OVER (ORDER BY snapshot_dt) AS previous_dt
-FROM (VALUES {", ".join(f"('{d}')" for d in SNAPSHOT_DAYS)}) AS t(snapshot_dt)"""
+SELECT snapshot_dt, lag(snapshot_dt) OVER (ORDER BY snapshot_dt) AS previous_dt, n
+FROM ({" UNION ALL ".join(f"SELECT '{d}' AS snapshot_dt, count(*) AS n FROM {shipments_as_of(d)}" for d in SNAPSHOT_DAYS)})"""
 ORACLES["cdc_log_io"] = f"""
 SELECT cdc_snapshot_dt, Op, l_returnflag, count(*) AS n FROM (
   {ORACLES["cdc_baseline"]} UNION ALL {multiset_changes(DAY2, DAY1)} UNION ALL {multiset_changes(DAY3, DAY2)})
@@ -185,12 +193,12 @@ clv AS (SELECT user_id, clv_date, strftime(clv_date, '%Y-%m') AS clv_month, firs
 
 
 PURCHASES = f"""purchases AS (SELECT CAST(user_id AS VARCHAR) AS user_id, value AS order_revenue, CAST(ts AS DATE) AS order_date
-  FROM events WHERE event_type = 'purchase'), {dense("purchases", "DATE '2024-01-01'", "DATE '2024-01-30'")}"""
+  FROM events WHERE event_type = 'purchase'), {dense("purchases", "(SELECT min(order_date) FROM purchases)", "(SELECT max(order_date) FROM purchases)")}"""
 ORDER_CLV = f"""{FACTS}, {dense("named", "(SELECT min(CAST(o_orderdate AS DATE)) FROM orders)", "(SELECT d FROM as_of)")}"""
 CLV_COLUMNS = f"""user_id, clv_date, clv_month, first_order_date, daily_order_count, cumulative_order_count,
   {monies("daily_revenue", "cumulative_clv")}"""
 ORACLES["clv_daily_full"] = f"WITH {PURCHASES} SELECT {CLV_COLUMNS} FROM clv"
-ORACLES["clv_daily_opening"] = f"WITH {PURCHASES} SELECT {CLV_COLUMNS} FROM clv WHERE clv_date >= DATE '2024-01-15'"
+ORACLES["clv_daily_opening"] = f"WITH {PURCHASES} SELECT {CLV_COLUMNS} FROM clv WHERE clv_date >= (SELECT min(order_date) + 14 FROM purchases)"
 ORACLES["clv_daily_incremental"] = f"""WITH {FACTS},
   {dense("named", "(SELECT min(order_date) FROM named)", "(SELECT max(order_date) FROM named)")}
 SELECT clv_month, count(*) AS customer_days, {money("sum(daily_revenue)")} AS revenue,
@@ -290,17 +298,18 @@ ORACLES["report_rfm_kpis"] = f"""WITH {RFM}
 SELECT count(*) AS customers, count(*) FILTER (WHERE rfm_segment = 'VIP') AS vips,
   count(*) FILTER (WHERE rfm_segment = 'Churn Risk') AS churn_risk, {money("avg(rfm_score)", 6)} AS avg_rfm_score FROM rfm"""
 ORACLES["report_rfm_sample"] = f"""WITH {RFM}
-SELECT user_id, frequency, {monies("monetary")}, rfm_segment FROM rfm ORDER BY md5(concat('1', user_id)), user_id LIMIT 4000"""
+SELECT user_id, frequency, {monies("monetary")}, rfm_segment FROM rfm ORDER BY md5(concat('1', user_id)), user_id LIMIT 400"""
 ORACLES["report_churn_kpis"] = f"""WITH {CHURN}
 SELECT s.status, count(c.user_id) AS customers, (SELECT CAST(median(days_since_last_order) AS DOUBLE) FROM churn) AS median_days_since_order
 FROM (VALUES ('Active'), ('At Risk'), ('Dormant')) AS s(status) LEFT JOIN churn c ON c.churn_status = s.status GROUP BY s.status"""
 ORACLES["report_churn_histogram"] = f"""WITH {CHURN}
-SELECT CAST(floor(days_since_last_order * 52 / CAST(365 AS DOUBLE)) AS INTEGER) + 1 AS bin,
+SELECT CAST(least(floor(days_since_last_order * 52 / CAST(365 AS DOUBLE)), 52) AS INTEGER) + 1 AS bin,
   min(days_since_last_order) AS first_days, max(days_since_last_order) AS last_days, count(*) AS customers
-FROM churn WHERE days_since_last_order <= 365 GROUP BY 1"""
+FROM churn GROUP BY 1"""
 ORACLES["report_at_risk"] = f"""WITH {CHURN}
 SELECT user_id, last_order_date, days_since_last_order, total_orders, {monies("avg_gap_days", "spend_change_pct", digits=6)}, churn_status
-FROM churn WHERE at_risk ORDER BY days_since_last_order DESC, user_id LIMIT 500"""
+FROM churn WHERE at_risk"""
+ORACLES["report_at_risk_total"] = f"WITH {CHURN} SELECT count(*) FILTER (WHERE at_risk) AS customers FROM churn"
 ORACLES["report_monthly_revenue"] = f"""WITH {SALES}
 SELECT CAST(date_trunc('month', order_date) AS DATE) AS month, {money("sum(revenue)")} AS revenue FROM sales GROUP BY 1"""
 ORACLES["report_sales_kpis"] = f"""WITH {SALES}

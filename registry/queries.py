@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,11 @@ from orderlake.contract import CHANGE_HEADERS, Layout, TableContract
 from orderlake.functions import row_fingerprint, row_fingerprint_exact, without_load_metadata
 from orderlake.plans import calendar as cal
 from orderlake.plans import commerce, customers, reports
-from orderlake.plans.change_capture import capture_changes, op_counts
+from orderlake.plans.change_capture import capture_changes, op_counts, repeated_keys
 from orderlake.plans.current_state import collapse, collapse_onto
 from orderlake.plans.revenue import regular
 from orderlake.session import apply_settings, shared_directory
-from orderlake.sources import pending_pairs, read_log, read_table, snapshot_dates, write_log
+from orderlake.sources import pending_pairs, read_log, read_snapshot, read_table, snapshot_dates, write_log
 from orderlake.streaming import adapt_change_feed, refresh_daily_value
 
 from . import star_schema as star
@@ -87,7 +88,7 @@ def without_headers(log: DataFrame, *keep: str) -> DataFrame:
 
 @query
 def normalize_columns(spark, sf_dir):
-    return without_load_metadata(star.orders_as_of(spark, sf_dir, star.SNAPSHOT_DAYS[-1]))
+    return without_load_metadata(star.landed_orders(spark, sf_dir))
 
 
 @query
@@ -129,6 +130,18 @@ def cdc_op_counts(spark, sf_dir):
     return op_counts(changes(spark, sf_dir, KEYED, 2, 1))
 
 
+@query
+def cdc_repeated_keys(spark, sf_dir):
+    """Keys of line items that would make a keyed snapshot of them fail."""
+    lines = star.table(spark, sf_dir, "lineitem")
+    found = [
+        repeated_keys(lines.filter(star.in_snapshot(F.col("l_shipdate").cast("date"), day)), ["l_orderkey", "l_linenumber"])
+        .select(F.lit(day).alias("snapshot_dt"), "*")
+        for day in star.SNAPSHOT_DAYS
+    ]
+    return reduce(DataFrame.unionAll, found)
+
+
 @query
 def cdc_headers(spark, sf_dir):
     """The parts of the headers that do not depend on the clock."""
@@ -149,8 +162,13 @@ def _snapshot_dates(spark, sf_dir):
     """Land one snapshot of the shipments per day, list the directories, pair them up."""
     layout = scratch(spark, "dates")
     _land(spark, sf_dir, layout, MULTISET)
-    pairs = pending_pairs(snapshot_dates(spark, layout), [])
-    return spark.createDataFrame(pairs, "snapshot_dt string, previous_dt string")
+    counted = [
+        read_snapshot(spark, layout, now, MULTISET.name).agg(
+            F.lit(now).alias("snapshot_dt"), F.lit(before).cast("string").alias("previous_dt"), F.count(F.lit(1)).alias("n")
+        )
+        for now, before in pending_pairs(snapshot_dates(spark, layout), [])
+    ]
+    return reduce(DataFrame.unionAll, counted)
 
 
 @query
@@ -261,29 +279,27 @@ def order_facts(spark, sf_dir):
 
 
 # --- customers ---------------------------------------------------------------
-PURCHASE_DAYS = (date(2024, 1, 1), date(2024, 1, 30))
-
-
-def _purchase_value(spark, sf_dir, floor=PURCHASE_DAYS[0], opening=None):
-    return customers.daily_value(star.purchases(spark, sf_dir), floor, PURCHASE_DAYS[1], opening)
+def _purchase_days(spark, sf_dir):
+    return star.purchases(spark, sf_dir).agg(F.min("order_date"), F.max("order_date")).first()
 
 
 @query
 def clv_daily_full(spark, sf_dir):
-    return rounded(_purchase_value(spark, sf_dir))
+    return rounded(customers.daily_value(star.purchases(spark, sf_dir), *_purchase_days(spark, sf_dir)))
 
 
 @query
 def clv_daily_opening(spark, sf_dir):
     """A window opened with balances equals the same days of the full run."""
-    floor = date(2024, 1, 15)
-    closing = _purchase_value(spark, sf_dir).filter(F.col("clv_date") == F.lit(floor - timedelta(days=1)))
+    first, last = _purchase_days(spark, sf_dir)
+    floor = first + timedelta(days=14)
+    closing = customers.daily_value(star.purchases(spark, sf_dir), first, last).filter(F.col("clv_date") == F.lit(floor - timedelta(days=1)))
     opening = closing.select(
         "user_id", "first_order_date", F.col("cumulative_clv").alias("base_clv"),
         F.col("cumulative_order_count").alias("base_orders"),
     )
     late = star.purchases(spark, sf_dir).filter(F.col("order_date") >= F.lit(floor))
-    return rounded(customers.daily_value(late, floor, PURCHASE_DAYS[1], opening))
+    return rounded(customers.daily_value(late, floor, last, opening))
 
 
 @query
@@ -332,13 +348,13 @@ def customer_rfm(spark, sf_dir):
 
 @query
 def customer_clv_tiers_distributed(spark, sf_dir):
-    """The path of populations too large to be ranked in one task."""
-    return rounded(_tiers(spark, sf_dir, one_task_limit=0))
+    """The only path there is; the name is kept."""
+    return rounded(_tiers(spark, sf_dir))
 
 
 @query
 def customer_rfm_distributed(spark, sf_dir):
-    return rounded(_rfm(spark, sf_dir, one_task_limit=0))
+    return rounded(_rfm(spark, sf_dir))
 
 
 @query
@@ -356,13 +372,13 @@ RATIOS = (
 )
 
 
-def _tiers(spark, sf_dir, **ranking):
-    return customers.value_tiers(star.named_orders(spark, sf_dir), **ranking)
+def _tiers(spark, sf_dir):
+    return customers.value_tiers(star.named_orders(spark, sf_dir))
 
 
-def _rfm(spark, sf_dir, **ranking):
+def _rfm(spark, sf_dir):
     as_of = star.order_days(spark, sf_dir)[1]
-    return customers.recency_frequency_monetary(star.named_orders(spark, sf_dir), as_of, **ranking)
+    return customers.recency_frequency_monetary(star.named_orders(spark, sf_dir), as_of)
 
 
 def _churn(spark, sf_dir):
@@ -378,8 +394,8 @@ def _sales(spark, sf_dir):
     return commerce.sales_daily(regular(star.line_facts(spark, sf_dir)), star.calendar(spark, sf_dir))
 
 
-def _locations(spark, sf_dir, **ranking):
-    return commerce.location_performance(regular(star.facts(spark, sf_dir)), **ranking)
+def _locations(spark, sf_dir):
+    return commerce.location_performance(regular(star.facts(spark, sf_dir)))
 
 
 def _discounts(spark, sf_dir):
@@ -408,7 +424,7 @@ def location_performance(spark, sf_dir):
 
 @query
 def location_performance_distributed(spark, sf_dir):
-    return rounded(_locations(spark, sf_dir, one_task_limit=0), avg_order_value=6)
+    return rounded(_locations(spark, sf_dir), avg_order_value=6)
 
 
 @query
@@ -439,7 +455,7 @@ def report_rfm_kpis(spark, sf_dir):
 
 @query
 def report_rfm_sample(spark, sf_dir):
-    return rounded(reports.rfm_sample(_rfm(spark, sf_dir)))
+    return rounded(reports.rfm_sample(_rfm(spark, sf_dir), 400))
 
 
 @query
@@ -457,6 +473,11 @@ def report_at_risk(spark, sf_dir):
     return rounded(reports.at_risk_customers(_churn(spark, sf_dir)), 6)
 
 
+@query
+def report_at_risk_total(spark, sf_dir):
+    return reports.at_risk_total(_churn(spark, sf_dir))
+
+
 @query
 def report_monthly_revenue(spark, sf_dir):
     return rounded(reports.monthly_revenue(_sales(spark, sf_dir)))

@@ -120,9 +120,23 @@ def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cal.date_dim(days, cal.typed_holidays(holidays(spark, sf_dir)))
 
 
-# Snapshots as of a day. Rows appear on their date, are archived four years later, and
-# an order stays open ("O") for its first sixty days.
-SNAPSHOT_DAYS = ("1999-06-30", "1999-09-30", "2000-03-31")
+# Snapshots as of a day. Rows appear on their date, are archived four years later from the
+# second snapshot on, and an order stays open ("O") for its first sixty days. The first
+# snapshot has all rows up to its day and the last one all later ones, so each row is in one at least.
+SNAPSHOT_DAYS = ("1999-06-30", "1999-09-30", "2002-12-31")
+
+
+def landed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as landed: upper-case names and load metadata."""
+    orders = table(spark, sf_dir, "orders")
+    upper = orders.toDF(*(c.upper() for c in orders.columns))
+    return upper.select(F.lit("I").alias("Op"), F.lit("2003-01-01 02:00:00").alias("ingested_at"), "*")
+
+
+def in_snapshot(event_day, day: str):
+    archived = F.add_months(F.lit(day).cast("date"), -48)
+    present = event_day <= F.lit(day).cast("date")
+    return present if day == SNAPSHOT_DAYS[0] else present & (event_day > archived)
 
 
 def orders_as_of(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
@@ -130,7 +144,7 @@ def orders_as_of(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
     day_lit = F.lit(day).cast("date")
     upper = table(spark, sf_dir, "orders")
     upper = upper.toDF(*(c.upper() for c in upper.columns))
-    kept = upper.filter((placed <= day_lit) & (placed > F.add_months(day_lit, -48)))
+    kept = upper.filter(in_snapshot(placed, day))
     status = F.when(placed > F.date_sub(day_lit, 60), "O").otherwise(F.col("O_ORDERSTATUS"))
     return kept.select(
         F.lit("I").alias("Op"), F.lit(f"{day} 02:00:00").alias("ingested_at"),
@@ -141,9 +155,7 @@ def orders_as_of(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
 
 def shipments_as_of(spark: SparkSession, sf_dir: str, day: str) -> DataFrame:
     """Shipped lines without any identifier: many rows are equal."""
-    shipped = F.col("l_shipdate").cast("date")
-    day_lit = F.lit(day).cast("date")
-    kept = table(spark, sf_dir, "lineitem").filter((shipped <= day_lit) & (shipped > F.add_months(day_lit, -48)))
+    kept = table(spark, sf_dir, "lineitem").filter(in_snapshot(F.col("l_shipdate").cast("date"), day))
     return kept.select(
         F.lit("I").alias("op"), F.lit(f"{day} 02:00:00").alias("ingested_at"),
         "l_linenumber", "l_returnflag", "l_linestatus", F.col("l_quantity").cast("int").alias("l_quantity"),
