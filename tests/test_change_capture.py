@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from orderlake.contract import ORDER_ITEMS, TableContract
 from orderlake.functions import row_fingerprint, row_fingerprint_exact, without_load_metadata
 from orderlake.operators.multiset import replicate
-from orderlake.plans.change_capture import capture_changes, op_counts
+from orderlake.plans.change_capture import capture_changes, op_counts, repeated_keys
 from orderlake.plans.current_state import collapse
 
 ITEM = "order_id string, lineitem_id string, item_price double, ingested_at string, op string"
@@ -92,6 +92,20 @@ def test_repeated_key_fails_instead_of_fanning_out(spark):
         capture_changes(items(spark, ("a", "1", 1.0), ("a", "1", 2.0)), items(spark), ORDER_ITEMS, "2026-01-02").collect()
 
 
+REPEATED = [("c", "9", 1.0), ("c", "9", 9.0)]
+
+
+@pytest.mark.parametrize("now, before", [
+    (REPEATED[:1], REPEATED), (REPEATED, REPEATED[:1]), (REPEATED, REPEATED), (REPEATED, None), ([REPEATED[0]] * 2, [REPEATED[0]] * 2),
+])
+def test_a_repeated_key_is_refused_on_either_side_and_in_the_baseline(spark, now, before):
+    """Also where one of the rows, or all of them, did not change."""
+    log = capture_changes(items(spark, *now), None if before is None else items(spark, *before), ORDER_ITEMS, "2026-01-02")
+    with pytest.raises(Exception, match="key is not unique in a snapshot: c, 9"):
+        log.collect()
+    assert [tuple(r) for r in repeated_keys(items(spark, *REPEATED, ("d", "1", 1.0)), ORDER_ITEMS.keys).collect()] == [("c", "9", 2)]
+
+
 def test_multiset_keeps_multiplicity_and_nulls(spark):
     x, y, z = ("a", "1", "x", 1.0), ("a", "1", None, 1.0), ("b", "1", "z", 2.0)
     before = options(spark, x, x, x, y, z)
@@ -114,10 +128,10 @@ def test_a_source_column_called_count(spark):
     assert short(capture_changes(now, before, BAG, "2026-01-02")) == [("I", 1, 5)]
 
 
-@pytest.mark.parametrize("copies", [1, 6, 7, 8, 14, 15, 100])
-def test_replicate_in_chunks(spark, copies):
+@pytest.mark.parametrize("copies", [1, 2, 4095, 4096, 4097, 20000])
+def test_replicate_in_runs(spark, copies):
     df = spark.createDataFrame([("hot", copies), ("cold", 2)], "name string, n bigint")
-    out = replicate(df, F.col("n"), chunk=7).groupBy("name").count()
+    out = replicate(df, F.col("n")).groupBy("name").count()
     assert {r[0]: r[1] for r in out.collect()} == {"hot": copies, "cold": 2}
 
 

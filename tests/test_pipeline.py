@@ -1,6 +1,7 @@
 """Storage behaviour: snapshot discovery, log batches, month refresh, whole runs."""
 
 from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -11,7 +12,7 @@ from orderlake.plans import pipeline
 from orderlake.plans.calendar import days
 from orderlake.plans.customers import daily_value
 from orderlake.sources import (
-    mart_months, pending_pairs, read_log, read_table, resolve_pair, snapshot_dates, table_exists, write_log, write_table,
+    logged_dates, mart_months, pending_pairs, read_log, read_table, resolve_pair, snapshot_dates, table_exists, write_log, write_table,
 )
 from orderlake.streaming import affected_since, recompute_floor, refresh_daily_value
 
@@ -43,6 +44,13 @@ def test_pairs():
     assert pending_pairs(dates, []) == [("d1", None), ("d2", "d1"), ("d3", "d2")]
     assert pending_pairs(dates, ["d1"]) == [("d2", "d1"), ("d3", "d2")]
     assert pending_pairs(dates, dates) == []
+    # a gap and all after it, since those steps started from another snapshot
+    assert pending_pairs(dates, ["d1", "d3"]) == [("d2", "d1"), ("d3", "d2")]
+    assert pending_pairs(dates, ["d2", "d3"]) == [("d1", None), ("d2", "d1"), ("d3", "d2")]
+    # old snapshots may go once they are logged, but not the one that the next step starts from
+    assert pending_pairs(dates[1:], ["d0", "d1", "d2"]) == [("d3", "d2")]
+    with pytest.raises(ValueError):
+        pending_pairs(dates[1:], ["d1"])
 
 
 # --- log -----------------------------------------------------------------------------
@@ -60,6 +68,31 @@ def test_log_batches_are_replaced_and_counted(spark, layout):
     assert rows(read_log(spark, layout, "t", until="2026-01-01")) == [("a", "I")]
 
 
+def test_only_finished_batches_are_logged(spark, layout):
+    with pytest.raises(FileNotFoundError):
+        read_log(spark, layout, "t")
+    write_log(log_rows(spark, "I"), layout, "t", "2026-01-01")
+    Path(layout.log("t"), "dt=2026-01-02").mkdir()
+    Path(layout.log("t"), "dt=2026-01-03", "_temporary", "0").mkdir(parents=True)
+    assert logged_dates(spark, layout, "t") == ["2026-01-01"]
+    assert rows(read_log(spark, layout, "t")) == [("a", "I")]
+    assert read_log(spark, layout, "t", after="2026-01-01").count() == 0
+    write_log(log_rows(spark, "U"), layout, "t", "2026-01-02")
+    assert rows(read_log(spark, layout, "t")) == [("a", "I"), ("a", "U")]
+
+
+@pytest.mark.parametrize("left", ["dt=2023-05-02", "dt=2023-05-02/_temporary/0"])
+def test_a_batch_that_broke_off_in_the_middle_is_logged_again(spark, layout, tmp_path, left):
+    land(spark, layout, "2023-05-01", keep=lambda i: i < 50)
+    land(spark, layout, "2023-05-02", keep=lambda i: i < 55)
+    pipeline.log_pair(spark, layout, "2023-05-01")
+    for table in ("order_items", "order_item_options"):
+        Path(layout.log(table), left).mkdir(parents=True)
+    land(spark, layout, "2023-05-03", keep=lambda i: i != 20)
+    assert pipeline.log_pending(spark, layout)["order_items"] == {"2023-05-02": {"I": 10}, "2023-05-03": {"I": 10, "D": 2}}
+    assert pipeline.refresh_current(spark, layout) == {"order_items": 118, "order_item_options": 236}
+
+
 def test_table_count_comes_from_the_write(spark, layout):
     assert write_table(spark.range(7), layout.mart("m")) == 7
     assert write_table(spark.range(3).filter("id > 5"), layout.mart("m")) == 0
@@ -221,6 +254,29 @@ def test_a_run_that_broke_off_is_followed_by_a_full_one(spark, layout, tmp_path,
     assert contents(spark, layout) == contents(spark, alone)
 
 
+def test_other_thresholds_rebuild_everything(spark, layout, tmp_path):
+    land(spark, layout, "2023-05-01")
+    pipeline.run_pipeline(spark, layout, outlier_threshold=120.0)
+    land(spark, layout, "2023-05-02", keep=lambda i: i != 58)
+    pipeline.run_pipeline(spark, layout, outlier_threshold=60.0)
+
+    alone = Layout(str(tmp_path / "alone"))
+    land(spark, alone, "2023-05-02", keep=lambda i: i != 58)
+    pipeline.run_pipeline(spark, alone, outlier_threshold=60.0)
+    assert contents(spark, layout) == contents(spark, alone)
+
+
+def test_undated_orders_come_out_the_same_in_steps(spark, layout):
+    location, calendar = layout.mart("clv"), days(spark, D(2023, 1, 1), D(2023, 12, 31))
+    known = [("a", 1.0, D(2023, 1, 5)), ("b", 2.0, None), ("c", 3.0, D(2023, 4, 2))]
+    added = [*known, ("d", 4.0, None), ("b", 5.0, D(2023, 4, 9)), ("c", 6.0, None)]
+    refresh_daily_value(spark, location, orders(spark, known), calendar)
+    refresh_daily_value(spark, location, orders(spark, added), calendar, D(2023, 4, 9))
+    whole = Layout(f"{layout.root}-whole").mart("clv")
+    refresh_daily_value(spark, whole, orders(spark, added), calendar)
+    assert stored(spark, location) == stored(spark, whole)
+
+
 def test_single_jobs_between_runs_lose_no_deletion(spark, layout, tmp_path):
     land(spark, layout, "2023-05-01")
     pipeline.run_pipeline(spark, layout)

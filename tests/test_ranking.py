@@ -18,20 +18,18 @@ def population(spark, n):
 def test_ntiles_equal_the_window(spark, n):
     df = population(spark, n)
     tie = F.col("user_id").asc()
-    orders = {"down": [F.col("v").desc(), tie], "up": [F.col("v").asc(), tie]}
-    expected = df.withColumns({q: F.ntile(5).over(Window.orderBy(*o)) for q, o in orders.items()})
-    for limit in (-1, 10**6):
-        actual = ntiles(df, 5, orders, one_task_limit=limit)
-        assert actual.dtypes == expected.dtypes
-        assert rows(actual) == rows(expected)
+    windows = {"down": [F.col("v").desc(), tie], "up": [F.col("v").asc(), tie]}
+    expected = df.withColumns({q: F.ntile(5).over(Window.orderBy(*o)) for q, o in windows.items()})
+    actual = ntiles(df, 5, {"down": ("v", True), "up": ("v", False)}, "user_id")
+    assert actual.dtypes == expected.dtypes
+    assert rows(actual) == rows(expected)
 
 
 @pytest.mark.parametrize("n", [0, 1, 7, 500])
 def test_dense_rank_equals_the_window(spark, n):
     df = population(spark, n)
     expected = df.withColumn("place", F.dense_rank().over(Window.orderBy(F.col("v").desc())))
-    for limit in (-1, 10**6):
-        assert rows(dense_rank(df, "v", "place", one_task_limit=limit)) == rows(expected)
+    assert rows(dense_rank(df, "v", "place")) == rows(expected)
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 501])

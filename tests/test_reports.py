@@ -22,13 +22,15 @@ def test_missing_tiers_states_and_segments_are_shown(spark):
 
 def test_histogram_edges(spark):
     churn = spark.createDataFrame([(d,) for d in (0, 7, 8, 364, 365, 366)], "days_since_last_order int")
-    assert listed(reports.churn_histogram(churn)) == [(1, 0, 7, 2), (2, 8, 8, 1), (52, 364, 364, 1), (53, 365, 365, 1)]
+    assert listed(reports.churn_histogram(churn)) == [(1, 0, 7, 2), (2, 8, 8, 1), (52, 364, 364, 1), (53, 365, 366, 2)]
 
 
-def test_at_risk_list_is_longest_first_and_limited(spark):
+def test_at_risk_list_is_longest_first_and_whole_by_default(spark):
     churn = spark.createDataFrame([("b", 60, True), ("a", 60, True), ("c", 90, True), ("d", 10, False)], "user_id string, days_since_last_order int, at_risk boolean")
     churn = churn.selectExpr("*", "date'2023-01-01' as last_order_date", "1L as total_orders", "1D as avg_gap_days", "1D as spend_change_pct", "'x' as churn_status")
     assert [r.user_id for r in reports.at_risk_customers(churn, 2).collect()] == ["c", "a"]
+    assert [r.user_id for r in reports.at_risk_customers(churn).collect()] == ["c", "a", "b"]
+    assert listed(reports.at_risk_total(churn)) == [(3,)]
 
 
 def test_segments_and_sample(spark):
