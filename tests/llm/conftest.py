@@ -1,0 +1,24 @@
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from llm_rows import COLUMNS, ODD_ROWS, SF_DIR  # noqa: E402
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Nulls in every column, empty and long texts, repeated rows, names that operators use too."""
+    return spark.createDataFrame(ODD_ROWS, COLUMNS).repartition(3)
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], COLUMNS)
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")

@@ -1,0 +1,138 @@
+"""Operators that judge each document by itself: license scan, quality, toxicity, language."""
+
+import re
+import zlib
+
+import duckdb
+import pytest
+from llm_rows import ODD_ROWS, SF_DIR, prose
+from pyspark.sql import functions as F
+
+from orderlake.llm import language, licenses, quality, toxicity
+from orderlake.llm.queries import ORACLES, QUERIES
+
+
+def listed(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def from_sql(name, sf_dir=SF_DIR):
+    connection = duckdb.connect()
+    for table in ("documents", "labels"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    cursor = connection.execute(ORACLES[name])
+    return [d[0] for d in cursor.description], sorted(cursor.fetchall(), key=repr)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    columns, expected = from_sql(name)
+    assert listed(QUERIES[name](spark, SF_DIR).select(*columns)) == expected
+
+
+# --- license scan ----------------------------------------------------------------
+def base_by_hand(text):
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    hits = [(i, label) for label, phrase in licenses.PHRASES for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    at = [i for i, _ in hits]
+    return len(words), len(hits), min(at, default=None), max(at, default=None), ",".join(sorted({label for _, label in hits}))
+
+
+LICENSED = [
+    "Released under the MIT License. And again under-the/MIT license!",
+    "under the mit under the mit license",
+    "CC BY NC CC BY-NC 4.0",
+    "Apache License, Version 2.0 and cc by nc",
+    "UNDER THE MİT LICENSE",
+    "cc by", "", None, "under the mit license " * 300,
+]
+
+
+def test_base_places_equal_a_plain_search(spark):
+    docs = spark.createDataFrame(list(enumerate(LICENSED)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    for i, text in enumerate(LICENSED):
+        r = found[i]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base_by_hand(text), text
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(","))) and 0 <= r.score <= 1
+
+
+def test_notice_with_changed_words_is_one_verified_span(spark):
+    notice = dict((label, text) for label, text in licenses.NOTICES)["bsd"].split()
+    changed = " ".join(["intro"] * 40 + notice[:9] + ["also"] + notice[9:] + ["end"])  # one word put in
+    docs = spark.createDataFrame([(1, changed), (2, " ".join(notice[:8]))], "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert found[1].labels == "bsd" and found[1].score >= 0.9 and found[1].base_labels == ""
+    assert found[2].labels == "" and 0 < found[2].score < 0.9
+
+
+# --- edge cases, one row for each row ----------------------------------------------
+def scans():
+    def toxic(docs):
+        return toxicity.score(docs, toxicity.weights(*[x.copy() for x in [__import__("numpy").zeros(toxicity.DIMENSIONS)] * 2]))
+
+    def lang(docs):
+        docs = docs.withColumn("held_out", F.lit(False))
+        return language.identify(docs, *language.learn(docs.filter("lang IS NOT NULL")))
+
+    return {"license": licenses.scan, "quality": lambda d: quality.judge(d), "toxicity": toxic, "language": lang}
+
+
+@pytest.mark.parametrize("name", ["license", "quality", "toxicity", "language"])
+def test_odd_and_empty_tables(odd, none, name):
+    assert scans()[name](odd).count() == len(ODD_ROWS)
+    assert scans()[name](none).count() == 0
+
+
+# --- quality -----------------------------------------------------------------------
+def test_filter_keeps_good_rows_whole(odd, none):
+    kept = quality.quality_filter(odd)
+    assert kept.columns == odd.columns and kept.dtypes == odd.dtypes
+    assert sorted(r.doc_id or -1 for r in kept.collect()) == [-1, 4, 4, 6, 7]
+    assert quality.quality_filter(none).count() == 0
+
+
+def test_order_of_rules_never_changes_a_verdict(spark, documents, monkeypatch):
+    expected = listed(quality.judge(documents).select("n_words", "kept"))
+    known = quality.rules
+    monkeypatch.setattr(quality, "rules", lambda text: known(text)[::-1])
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 1)
+    assert listed(quality.judge(documents, sample_rows=1).select("n_words", "kept")) == expected
+
+
+def test_rejecting_rules_come_first(spark):
+    rows = [(i, prose(i, 60).replace(" ", "! ! " if i % 2 else " ")) for i in range(40)]
+    order = quality.cascade_order(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert order[0].name == "exclamations"
+
+
+# --- toxicity ------------------------------------------------------------------------
+def test_held_out_toxicity(spark):
+    found = {r.doc_id: r for r in QUERIES["op6_toxicity_ftrl"](spark, "/root/testdata/sf0.01").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect()}
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 for i, r in found.items())
+    held = [(found[i].score, toxic) for i, toxic in labels.items() if found[i].held_out]
+    good, bad = [s for s, t in held if not t], [s for s, t in held if t]
+    ranked = sum(b > g for b in bad for g in good) / (len(good) * len(bad))
+    assert ranked > 0.9 and sum(s >= 0.5 for s in good) <= 0.05 * len(good)
+
+
+# --- language ------------------------------------------------------------------------
+def test_held_out_language(spark):
+    found = QUERIES["op10_language_mixture"](spark, "/root/testdata/sf0.01")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = found.join(docs, "doc_id").filter("held_out").collect()
+    assert all(zlib.crc32(str(r.doc_id).encode()) % 3 == 1 for r in rows)
+    assert sum(r.lang_pred == r.lang for r in rows) >= 0.97 * len(rows)
+
+
+def test_mixture_takes_the_larger_part_and_no_letter_is_undetermined(spark):
+    german, english = "der schlüssel liegt auf dem tisch und die tür ist zu ", "the key is on the table and this door was shut "
+    train = spark.createDataFrame([("de", german * 20), ("en", english * 20)], "lang string, text string")
+    langs, model = language.learn(train)
+    texts = [german * 3, english * 3, german * 6 + english * 2, german * 2 + english * 6, "123 !?", None, ""]
+    docs = spark.createDataFrame([(i, t, False) for i, t in enumerate(texts)], "doc_id long, text string, held_out boolean")
+    found = {r.doc_id: r for r in language.identify(docs, langs, model).collect()}
+    assert [found[i].lang_pred for i in range(7)] == ["de", "en", "de", "en", "und", "und", "und"]
+    assert found[0].score > 0.99 and 0.6 < found[2].score < 0.95 and found[5].score == 0
+    assert language.identify(docs, [], model[:, :0]).filter("lang_pred <> 'und'").count() == 0
