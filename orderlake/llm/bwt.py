@@ -15,7 +15,7 @@ import numpy as np
 
 @dataclass
 class Shard:
-    """Strings laid end to end: symbols (0: end mark, else byte + 1), rows in order, the symbol before each row."""
+    """Strings laid end to end: symbols (0: end mark, else byte + 1; UTF-8 has no byte 255), rows in order, the symbol before each row."""
 
     symbols: np.ndarray
     rows: np.ndarray
@@ -30,29 +30,32 @@ def _ring(lengths: np.ndarray, step: int) -> np.ndarray:
 
 
 def shard(strings: list[bytes]) -> Shard:
-    """Rows sorted by prefix doubling on the rings; equal strings in the order given."""
+    """Rows sorted by prefix doubling on the rings, eight symbols at first; equal strings in the order given."""
     lengths = np.array([len(s) + 1 for s in strings], np.int64)
     ends = np.cumsum(lengths) - 1
-    symbols = np.zeros(int(lengths.sum()), np.uint16)
+    symbols = np.zeros(int(lengths.sum()), np.uint8)
     at = np.ones(len(symbols), bool)
     at[ends] = False
-    symbols[at] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
-    key = symbols.astype(np.int64)
+    symbols[at] = np.frombuffer(b"".join(strings), np.uint8) + 1
+    key = symbols.astype(np.uint64)
     one = _ring(lengths, 1)
     depth, head = 1, key
-    while depth < 7:
+    while depth < 8:
         head = head[one]
-        key = (key << 9) | head
+        key = key << np.uint64(8) | head
         depth += 1
     longest = int(lengths.max())
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         fresh = np.empty(len(key), bool)
         fresh[0] = False
         np.not_equal(ordered[1:], ordered[:-1], out=fresh[1:])
         rank = np.cumsum(fresh)
-        if depth >= longest or rank[-1] == len(key) - 1:
+        if rank[-1] == len(key) - 1:
+            break
+        if depth >= longest:  # only equal strings are left
+            order = np.argsort(key, kind="stable")
             break
         place = np.empty(len(key), np.int64)
         place[order] = rank
@@ -67,7 +70,7 @@ def merge(a: Shard, b: Shard, depth: int) -> Shard:
     """One shard of both sets of strings, its rows sorted by their first ``depth`` characters at least."""
     from_b = np.zeros(len(a.rows) + len(b.rows), bool)
     from_b[len(a.rows) :] = True
-    before = np.empty(len(from_b), np.uint16)
+    before = np.empty(len(from_b), np.uint8)
     for _ in range(depth):
         before[~from_b] = a.before
         before[from_b] = b.before
@@ -99,7 +102,7 @@ def repeated(merged: Shard, depth: int) -> tuple[np.ndarray, np.ndarray]:
     same = np.zeros(len(rows), bool)
     if len(rows) > 1:
         # eight bytes at once; only neighbours that agree so far are compared further
-        data = np.append((merged.symbols.astype(np.int64) - 1).clip(0).astype(np.uint8), np.zeros(8, np.uint8))
+        data = np.append(merged.symbols, np.zeros(8, np.uint8))
         eight = np.lib.stride_tricks.sliding_window_view(data, 8)
         left = np.arange(1, len(rows))
         for offset in [*range(0, depth - 8, 8), depth - 8]:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlake.session import durable, shared_directory
 
-__all__ = ["ROW", "ascii_lower", "durable", "read", "settings", "shared_directory", "word_list"]
+__all__ = ["ROW", "ascii_lower", "durable", "read", "release", "settings", "shared_directory", "word_list"]
 
 #: Name of the struct in which an operator carries a caller's whole row past its own columns.
 ROW = "__row"
@@ -24,6 +26,12 @@ def settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more, instead of at some later collection."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     return settings(spark).read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 

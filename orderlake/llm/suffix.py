@@ -20,7 +20,8 @@ result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -28,11 +29,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bwt, winnow
-from .common import durable
+from .common import durable, release
 
 LENGTH = 100
 #: Surroundings in a bundle, and in each of its shards.
 BUNDLE, SHARD = 8_000, 4_000
+#: How finely agreement is probed when surroundings are trimmed.
+STEP = 8
 LAST = (1 << 63) - 1
 
 
@@ -46,7 +49,7 @@ def _first_of_each(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """``gram, around, key, at, covered``; within a batch all but the first of equal surroundings are covered."""
+    """``group`` (the anchor's hash), ``around, key, at, covered``; within a batch all but the first of equal surroundings are covered."""
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -58,14 +61,15 @@ def occurrences(docs: DataFrame, length: int) -> DataFrame:
             first = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
             again = ~fresh & ((key != key[first]) | (at != at[first]))  # the same place of a repeated row is no repetition
             gram = np.where(again, gram ^ np.arange(len(gram), dtype=np.uint64), gram)  # spreads settled rows
-            yield pd.DataFrame({"gram": gram.view(np.int64), "around": around.view(np.int64), "key": key, "at": at.astype(np.int32), "covered": again})
+            around = np.where(again, 0, around.view(np.int64))
+            yield pd.DataFrame({"group": gram.view(np.int64), "around": around, "key": key, "at": at.astype(np.int32), "covered": again})
 
-    return docs.select("key", "text").mapInPandas(batches, "gram long, around long, key long, at int, covered boolean")
+    return docs.select("key", "text").mapInPandas(batches, "group long, around long, key long, at int, covered boolean")
 
 
 def places(docs: DataFrame, length: int) -> DataFrame:
     """Per document: ``covered`` (anchors covered with all their surroundings) and ``open`` (anchor, place, its surroundings in number)."""
-    found = occurrences(docs, length).withColumn("group", F.when(~F.col("covered"), F.col("gram")).otherwise(F.xxhash64("gram", "key", "at")))
+    found = occurrences(docs, length).repartition("group")  # one shuffle for both windows
     same = Window.partitionBy("group", "around").orderBy("key", "at")
     ranked = found.withColumn("rank", F.when(F.col("covered"), F.lit(2)).otherwise(F.rank().over(same)))
     group = Window.partitionBy("group")
@@ -78,7 +82,7 @@ def places(docs: DataFrame, length: int) -> DataFrame:
 
 
 def surroundings(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """``gram, kinds, key, start, bytes`` of every open anchor."""
+    """``gram, kinds, key, start, anchor, bytes`` of every open anchor; ``anchor``: its place in ``bytes``."""
     reach = length - winnow.GRAM
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -88,20 +92,66 @@ def surroundings(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
                 data = (text or "").encode("utf-8", "replace")
                 for place in places:
                     start = max(0, place["at"] - reach)
-                    rows.append((place["group"], place["kinds"], key, start, data[start : place["at"] + length]))
-            yield pd.DataFrame(rows, columns=["gram", "kinds", "key", "start", "bytes"])
+                    rows.append((place["group"], place["kinds"], key, start, place["at"] - start, data[start : place["at"] + length]))
+            yield pd.DataFrame(rows, columns=["gram", "kinds", "key", "start", "anchor", "bytes"])
 
     opened = found.filter(F.size("open") > 0).select(F.col("key").alias("__key"), "open").hint("shuffle_hash")
     joined = docs.join(opened, docs["key"] == opened["__key"]).select("key", "text", "open")
-    return joined.mapInPandas(batches, "gram long, kinds long, key long, start int, bytes binary")
+    return joined.mapInPandas(batches, "gram long, kinds long, key long, start int, anchor int, bytes binary")
 
 
 FOUND = "key long, start int, h1 long, h2 long, dealt boolean"
 
 
+def _agreeing(pieces: Callable[[int, int], tuple | None], n: int, reach: int) -> list[int]:
+    """Upper bound of how far each of ``n`` surroundings agrees with another one of its anchor, in one direction."""
+    bound, alive, least = [0] * n, list(range(n)), 0
+    for far in [*range(STEP, reach, STEP), reach]:
+        keys = {i: k for i in alive if (k := pieces(i, far)) is not None}
+        seen = Counter(keys.values())
+        for i in alive:
+            bound[i] = far - 1
+        alive = [i for i, k in keys.items() if seen[k] > 1]
+        if not alive:
+            return bound
+    for i in alive:
+        bound[i] = reach
+    return bound
+
+
+def trimmed(frame: pd.DataFrame, length: int) -> pd.DataFrame:
+    """Surroundings cut to what can be in a repeated string, without those that have none.
+
+    Not those dealt over several bundles, whose equals may be elsewhere.
+    """
+    data, anchor, gram, dealt = (frame[c].tolist() for c in ("bytes", "anchor", "gram", "dealt"))
+    reach, n = length - winnow.GRAM, len(frame)
+
+    def left(i: int, far: int) -> tuple | None:
+        return (gram[i], data[i][anchor[i] - far : anchor[i]]) if far <= anchor[i] else None
+
+    def right(i: int, far: int) -> tuple | None:
+        end = anchor[i] + winnow.GRAM + far
+        return (gram[i], data[i][anchor[i] : end]) if end <= len(data[i]) else None
+
+    rows = []
+    for i, (before, after) in enumerate(zip(_agreeing(left, n, reach), _agreeing(right, n, reach))):
+        low, high = max(0, anchor[i] - before), anchor[i] + winnow.GRAM + after
+        if dealt[i]:
+            rows.append((i, 0, data[i]))
+        elif before + after >= reach:
+            rows.append((i, low, data[i][low:high]))
+    kept = frame.iloc[[r[0] for r in rows]][["key", "start", "dealt"]].reset_index(drop=True)
+    kept["start"] += np.array([r[1] for r in rows], kept["start"].dtype)
+    kept["bytes"] = [r[2] for r in rows]
+    return kept
+
+
 def repeats_in_bundle(frame: pd.DataFrame, length: int, shard_size: int) -> pd.DataFrame:
     """Starts of covered strings (``dealt`` false); where the anchor is dealt over bundles, also digests of the earliest ones."""
-    frame = frame.sort_values(["key", "start", "bytes"], ignore_index=True)
+    frame = trimmed(frame, length).sort_values(["key", "start", "bytes"], ignore_index=True)
+    if frame.empty:
+        return pd.DataFrame({"key": [], "start": [], "h1": [], "h2": [], "dealt": []})
     strings = frame["bytes"].tolist()
     parts = [bwt.shard(strings[i : i + shard_size]) for i in range(0, len(strings), shard_size)]
     merged = bwt.merge_all(parts, length)
@@ -163,7 +213,9 @@ def marked(docs: DataFrame, length: int = LENGTH, bundle: int = BUNDLE, shard_si
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
     narrow = docs.select(key.alias("key"), "text")
     found = durable(places(narrow, length))
+    release(docs.sparkSession)
     around = durable(surroundings(narrow, found, length))
+    release(docs.sparkSession)
     starts = repeated_strings(around, length, bundle, shard_size).groupBy("key").agg(F.collect_set("start").alias("__starts"))
     told = found.select("key", F.col("covered").alias("__covered")).join(starts, "key", "full").withColumnRenamed("key", "__key")
     return docs.join(told.hint("shuffle_hash"), key == F.col("__key"), "left").drop("__key")
