@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import accumulate
 
 import pyarrow as pa
@@ -59,32 +60,38 @@ class _Numbered:
         )
 
 
+_PLACE = ("null", "value", "key")
+
+
 def _sort_key(value: str, descending: bool, key: str) -> Column:
     """What orders rows by ``value``, then ``key``, under plain ascending comparison; NULL is the smallest value."""
-    v = F.col(value)
+    v = F.col(value).cast("double")
     return F.struct(
         (v.isNull() if descending else v.isNotNull()).alias("null"), (-v if descending else v).alias("value"), F.col(key).alias("key")
     )
 
 
 def ntiles(df: DataFrame, buckets: int, orders: Mapping[str, tuple[str, bool]], key: str) -> DataFrame:
-    """SQL ``ntile(buckets)`` over each order, given as (number column, descending); ``key`` is unique and settles ties."""
+    """SQL ``ntile(buckets)`` over each order, given as (number column, descending); ``key`` is unique and settles ties.
+
+    One sort serves all orders: each brings its own copy of (value, key), set apart by its number.
+    """
     rows = durable(df)  # a sum of doubles must be the same bits in the sort and in the comparison
-    scores = {}
-    for name, (value, descending) in orders.items():
-        place = _sort_key(value, descending, key)
-        numbered = _Numbered(rows.select(place.alias("place")).select("place.*"), [F.col(c) for c in ("null", "value", "key")])
-        size, larger = divmod(numbered.total, buckets)
-        starts = [b * size + min(b, larger) for b in range(1, buckets)]
-        ids = [numbered.id_at(s) for s in starts if s < numbered.total]
-        found = numbered.rows.filter(F.col(_ID).isin(ids)).select("null", "value", "key").collect()  # buckets - 1 rows
-        kinds = {f.name: f.dataType for f in numbered.rows.schema}
-        score = F.lit(1)
-        for boundary in found:
-            literal = F.struct(*(F.lit(boundary[c]).cast(kinds[c]).alias(c) for c in ("null", "value", "key")))
-            score = score + (place >= literal).cast("int")
-        scores[name] = score
-    return rows.withColumns(scores)
+    places = [_sort_key(value, descending, key) for value, descending in orders.values()]
+    keyed = reduce(DataFrame.unionAll, (rows.select(F.lit(i).alias("which"), p.alias("place")).select("which", "place.*") for i, p in enumerate(places)))
+    numbered = _Numbered(keyed, [F.col(c) for c in ("which", *_PLACE)])
+    total = numbered.total // len(places)
+    size, larger = divmod(total, buckets)
+    starts = [start for b in range(1, buckets) if (start := b * size + min(b, larger)) < total]
+    ids = [numbered.id_at(i * total + start) for i in range(len(places)) for start in starts]
+    found = numbered.rows.filter(F.col(_ID).isin(ids)).collect()  # buckets - 1 rows for each order
+    kinds = {f.name: f.dataType for f in numbered.rows.schema}
+
+    def score(which: int) -> Column:
+        boundaries = (F.struct(*(F.lit(r[c]).cast(kinds[c]).alias(c) for c in _PLACE)) for r in found if r["which"] == which)
+        return sum(((places[which] >= boundary).cast("int") for boundary in boundaries), F.lit(1))
+
+    return rows.withColumns({name: score(i) for i, name in enumerate(orders)})
 
 
 def dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
