@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,9 +28,14 @@ def settings(spark: SparkSession) -> SparkSession:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more, instead of at some later collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete the shuffle files of plans that nothing refers to any more, instead of at some later collection.
+
+    The first collection frees the plans, the second one what they held.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
