@@ -338,6 +338,25 @@ ORACLES["report_discount_long"] = f"""WITH {DISCOUNTS}
 SELECT segment, 'Gross' AS measure, {money("total_gross_revenue")} AS amount FROM discounts
 UNION ALL SELECT segment, 'Net', {money("total_net_revenue")} FROM discounts"""
 
+# --- whole pipeline ----------------------------------------------------------------
+IN_YEAR = "order_date BETWEEN CAST(d - INTERVAL 12 MONTH AS DATE) AND d"
+ORACLES["pipeline_marts"] = f"""WITH {FACTS},
+  {dense("named", "(SELECT min(order_date) FROM named)", "(SELECT max(order_date) FROM named)")},
+last AS (SELECT max(order_date) AS d FROM named),
+members AS (SELECT user_id, bool_or(is_loyalty) AS m FROM named GROUP BY user_id),
+totals AS (
+  SELECT 'customer_clv_daily' AS mart, count(*) AS n, sum(daily_revenue) AS amount FROM clv
+  UNION ALL SELECT 'clv_trends', count(DISTINCT clv_date), sum(daily_revenue) FROM clv
+  UNION ALL SELECT 'customer_clv_tiers', count(DISTINCT user_id), sum(order_revenue) FROM named
+  UNION ALL SELECT 'customer_rfm', count(DISTINCT user_id), count(*) FILTER (WHERE {IN_YEAR}) FROM named, last
+  UNION ALL SELECT 'churn_indicators', count(DISTINCT user_id), count(*) FROM named
+  UNION ALL SELECT 'sales_daily', count(DISTINCT (CAST(creation_time_utc AS DATE), restaurant_id, item_category)), sum(net_revenue)
+    FROM lines WHERE net_revenue <= {ORDER_OUTLIER}
+  UNION ALL SELECT 'loyalty_impact', (SELECT count(DISTINCT m) FROM members), sum(order_revenue) FROM named
+  UNION ALL SELECT 'location_performance', count(DISTINCT restaurant_id), sum(order_revenue) FROM regular
+  UNION ALL SELECT 'discount_effectiveness', count(DISTINCT is_discounted), sum(order_revenue) FROM regular)
+SELECT mart, n, {money("amount")} AS amount, TRUE AS counted FROM totals"""
+
 # the same results by another path
 for name in ("customer_clv_tiers", "customer_rfm", "location_performance"):
     ORACLES[f"{name}_distributed"] = ORACLES[name]

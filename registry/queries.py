@@ -14,10 +14,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlake.contract import CHANGE_HEADERS, Layout, TableContract
+from orderlake.contract import CHANGE_HEADERS, LOGGED, Layout, TableContract
 from orderlake.functions import row_fingerprint, row_fingerprint_exact, without_load_metadata
 from orderlake.plans import calendar as cal
-from orderlake.plans import commerce, customers, reports
+from orderlake.plans import commerce, customers, pipeline, reports
 from orderlake.plans.change_capture import capture_changes, op_counts, repeated_keys
 from orderlake.plans.current_state import collapse, collapse_onto
 from orderlake.plans.revenue import regular
@@ -521,3 +521,38 @@ def report_discount_kpis(spark, sf_dir):
 @query
 def report_discount_long(spark, sf_dir):
     return rounded(reports.gross_and_net(_discounts(spark, sf_dir)))
+
+
+# --- whole pipeline ----------------------------------------------------------
+# mart -> what is summed
+MART_AMOUNTS = {
+    "customer_clv_daily": "daily_revenue", "clv_trends": "daily_revenue", "customer_clv_tiers": "total_clv",
+    "customer_rfm": "frequency", "churn_indicators": "total_orders", "sales_daily": "revenue",
+    "loyalty_impact": "total_revenue", "location_performance": "total_revenue", "discount_effectiveness": "total_net_revenue",
+}
+
+
+@query
+def pipeline_marts(spark, sf_dir):
+    """Three snapshots, the last one with every order: a first run, then a run that takes in the other two."""
+    layout = scratch(spark, "pipeline")
+    items, options = star.order_items(spark, sf_dir), star.order_item_options(spark, sf_dir)
+    runs = []
+    for day, before in (("2001-01-01", "1999-01-01"), ("2001-02-01", "2000-01-01"), ("2001-03-01", None)):
+        kept = items if before is None else items.filter(F.col("creation_time_utc") < before)
+        chosen = options.join(kept.select("order_id", "lineitem_id"), ["order_id", "lineitem_id"], "left_semi")
+        for name, df in zip(LOGGED, (kept, chosen)):
+            df.write.parquet(layout.snapshot(day, name))
+        star.holidays(spark, sf_dir).write.parquet(layout.snapshot(day, "date_dim"))
+        if day != "2001-02-01":
+            runs.append(pipeline.run_pipeline(spark, layout, outlier_threshold=star.ORDER_OUTLIER))
+    totals = [
+        read_table(spark, layout.mart(mart)).agg(
+            F.lit(mart).alias("mart"), F.count(F.lit(1)).alias("n"), F.sum(F.col(amount).cast("double")).alias("amount"),
+            F.lit(runs[-1]["marts"][mart]).cast("long").alias("written"),
+        )
+        for mart, amount in MART_AMOUNTS.items()
+    ]
+    # the write of the daily mart counts only the months it replaced
+    written = F.when(F.col("mart") == "customer_clv_daily", F.col("written") <= F.col("n")).otherwise(F.col("written") == F.col("n"))
+    return rounded(reduce(DataFrame.unionAll, totals).withColumn("counted", written).drop("written"))
