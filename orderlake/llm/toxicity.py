@@ -20,14 +20,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, release
 from .language import FOLD, held_out
 
 #: Size of the hashed space; its first coordinate is the bias.
 DIMENSIONS = 1 << 20
 #: Labelled rows learned from: the documented bound of the sample.
 MAX_ROWS = 20_000
-SHARDS, ROUNDS = 4, 8
+SHARDS, ROUNDS = 4, 5
 #: A word also counts by its first bytes, so that its inflections and compounds learn together.
 STEM = 5
 # rates and penalties of the updates
@@ -85,30 +85,29 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
 def learn(rows: DataFrame) -> np.ndarray:
     """Dense view of the sparse weights."""
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("__id"), F.lit(SHARDS))).repartition(SHARDS, "shard").sortWithinPartitions("shard", F.xxhash64("__id", F.lit(1)))
-    z, n = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
-    vectors = durable(dealt.mapInPandas(_vectors, "shard long, coordinates binary, toxic int"))
+    # a stored partition is a shard: the rounds read it where it is and shuffle nothing
+    vectors = durable(dealt.mapInPandas(_vectors, "coordinates binary, toxic int"))
+    z, n = np.zeros(DIMENSIONS, np.float32), np.zeros(DIMENSIONS, np.float32)
     for _ in range(ROUNDS):
-        start = (np.flatnonzero(n), z[n > 0], n[n > 0])
-
-        states = vectors.groupBy("shard").applyInPandas(_shard_pass(start), "at binary, z binary, n binary").collect()  # SHARDS rows of bounded size
+        states = vectors.mapInPandas(_shard_pass(z, n), "z binary, n binary").collect()  # at most SHARDS rows of a fixed size
         if not states:
             break
-        z[:], n[:] = 0, 0
-        for s in states:
-            at = np.frombuffer(s["at"], np.int32)
-            z[at] += np.frombuffer(s["z"], np.float32) / len(states)
-            n[at] += np.frombuffer(s["n"], np.float32) / len(states)
-    return weights(z, n)
-
-
-def _shard_pass(start: tuple[np.ndarray, np.ndarray, np.ndarray]):
-    def train(frame: pd.DataFrame) -> pd.DataFrame:
-        z, n = np.zeros(DIMENSIONS), np.zeros(DIMENSIONS)
-        z[start[0]], n[start[0]] = start[1], start[2]
-        pass_over([(np.frombuffer(c, np.int32), y) for c, y in zip(frame["coordinates"], frame["toxic"])], z, n)
-        at = np.flatnonzero(n)
-        state = [x.tobytes() for x in (at.astype(np.int32), z[at].astype(np.float32), n[at].astype(np.float32))]
-        return pd.DataFrame([state], columns=["at", "z", "n"])
+        z, n = (sum(np.frombuffer(s[part], np.float32) for s in states) / np.float32(len(states)) for part in ("z", "n"))
+        release(rows.sparkSession)  # or the states of all rounds stay on every executor's disk
+    return weights(z.astype(float), n.astype(float))
+
+
+def _shard_pass(start_z: np.ndarray, start_n: np.ndarray):
+    """Each partition's own pass from the shared state."""
+
+    def train(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        z, n = start_z.astype(float), start_n.astype(float)
+        trained = False
+        for frame in frames:
+            trained = trained or len(frame) > 0
+            pass_over([(np.frombuffer(c, np.int32), y) for c, y in zip(frame["coordinates"], frame["toxic"])], z, n)
+        if trained:
+            yield pd.DataFrame([[z.astype(np.float32).tobytes(), n.astype(np.float32).tobytes()]], columns=["z", "n"])
 
     return train
 
@@ -116,7 +115,7 @@ def _shard_pass(start: tuple[np.ndarray, np.ndarray, np.ndarray]):
 def _vectors(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         found = [np.append(0, np.unique(features(t))).astype(np.int32).tobytes() for t in frame["text"]]
-        yield pd.DataFrame({"shard": frame["shard"], "coordinates": found, "toxic": frame["toxic"]})
+        yield pd.DataFrame({"coordinates": found, "toxic": frame["toxic"]})
 
 
 def score(docs: DataFrame, model: np.ndarray) -> DataFrame:
