@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 #: Words of a benchmark passage and of a document window, and how far apart they start.
 PASSAGE, PASSAGE_STEP = 64, 32
 WINDOW, WINDOW_STEP = 64, 16
+#: Steps whose windows are projected at once.
+CHUNK = 2048
 #: Passages compared in one reading of the documents.
 BLOCK = 512
 RANK, OVERSAMPLE, POWER = 192, 16, 2
@@ -157,49 +159,60 @@ class Block:
     def _project(terms: list[int], weights: list[float], space: np.ndarray) -> np.ndarray:
         return np.asarray(weights, np.float32) @ space[terms] if terms else np.zeros(space.shape[1], np.float32)
 
-    def find(self, text: str | None) -> list[tuple[int, int, float, float, bool]]:
-        """(item_id, first word of the window, cosine, share of the passage found in order, answer found) of verified passages."""
-        words = words_of(text)
-        look = self.terms.get
-        at = [(i, t) for i, w in enumerate(words) if (t := look(w)) is not None]
-        if not at:
-            return []
-        place, term = np.array(at).T
-        best: dict[int, tuple[float, int]] = {}
-        # sums over steps, then windows of WINDOW // WINDOW_STEP steps, a bounded number at once
-        first = 0
-        while first < len(place):
-            base = place[first] // WINDOW_STEP
-            last = np.searchsorted(place, (base + 4096) * WINDOW_STEP)
-            self._windows(place[first:last], term[first:last], best)
-            overlap = np.searchsorted(place, (base + 4096) * WINDOW_STEP - WINDOW)
-            first = last if last == len(place) else max(overlap, first + 1)
-        found = []
-        for k, (cosine, start) in best.items():
-            part = self.parts[k]
+    def find(self, texts: list[str | None]) -> list[list[tuple[int, int, float, float, bool]]]:
+        """For each text (item_id, first word of the window, cosine, share of the passage found in order, answer found) of verified passages.
+
+        The texts are laid on one axis of steps, a window apart, so that a batch is a few matrix products.
+        """
+        wide, look = WINDOW // WINDOW_STEP, self.terms.get
+        split = [words_of(text) for text in texts]
+        room = np.array([-(-len(words) // WINDOW_STEP) + wide for words in split], np.int64)
+        bases = np.cumsum(room) - room + wide
+        steps, terms = [], []
+        for base, words in zip(bases.tolist(), split):
+            found = [look(w, -1) for w in words]
+            term = np.array(found, np.int64)
+            at = np.flatnonzero(term >= 0)
+            steps.append(base + at // WINDOW_STEP)
+            terms.append(term[at])
+        best = self._windows(np.concatenate(steps), np.concatenate(terms), bases) if texts else {}
+        out: list[list[tuple[int, int, float, float, bool]]] = [[] for _ in texts]
+        for (text, k), (cosine, step) in best.items():
+            part, words, start = self.parts[k], split[text], max(0, step - int(bases[text])) * WINDOW_STEP
             near = words[max(0, start - len(part)) : start + WINDOW + len(part)]
             share = lcs(part, near) / len(part)
             if share >= PARAPHRASE:
                 answered = _contains(near, self.answers[k])
                 if share >= SAME or answered:
-                    found.append((self.items[k], start, cosine, share, answered))
-        return found
-
-    def _windows(self, place: np.ndarray, term: np.ndarray, best: dict[int, tuple[float, int]]) -> None:
-        step = place // WINDOW_STEP
-        base, steps, wide = step[0], step[-1] - step[0] + 1, WINDOW // WINDOW_STEP
-        cut = np.flatnonzero(np.diff(step, prepend=-1))
-        sums = np.zeros((steps + 2 * wide, self.latent.shape[1]), np.float32)
-        sums[step[cut] - base + wide - 1] = np.add.reduceat(self.latent[term], cut, axis=0)
-        windows = sum(sums[i : i + steps + wide] for i in range(wide))
-        norm = np.linalg.norm(windows, axis=1)
-        live = np.flatnonzero(norm > 0)
-        cosine = (windows[live] / norm[live, None]) @ self.queries
-        for k in np.flatnonzero((cosine >= COSINE).any(axis=0)):
-            w = int(cosine[:, k].argmax())
-            value = float(cosine[w, k])
-            if value > best.get(k, (0.0, 0))[0]:
-                best[k] = (value, max(0, int(live[w] + base - wide + 1)) * WINDOW_STEP)
+                    out[text].append((self.items[k], start, cosine, share, answered))
+        return out
+
+    def _windows(self, step: np.ndarray, term: np.ndarray, bases: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
+        """Best (cosine, first step) of each text and passage that reach ``COSINE``; ``CHUNK`` steps at once."""
+        wide = WINDOW // WINDOW_STEP
+        best: dict[tuple[int, int], tuple[float, int]] = {}
+        for base in range(0, int(step[-1]) + 1 if len(step) else 0, CHUNK):
+            low, high = np.searchsorted(step, (base, base + CHUNK + wide - 1))
+            if low == high:
+                continue
+            own = step[low:high] - base
+            cut = np.flatnonzero(np.diff(own, prepend=-1))
+            sums = np.zeros((CHUNK + wide - 1, self.latent.shape[1]), np.float32)
+            sums[own[cut]] = np.add.reduceat(self.latent[term[low:high]], cut, axis=0)
+            windows = sums[:CHUNK].copy()
+            for i in range(1, wide):
+                windows += sums[i : i + CHUNK]
+            norm = np.sqrt(np.einsum("ij,ij->i", windows, windows))
+            live = np.flatnonzero(norm > 0)
+            cosine = windows[live] @ self.queries
+            rows, passages = np.nonzero(cosine >= COSINE * norm[live, None])
+            starts = live[rows] + base
+            texts = np.searchsorted(bases, starts + wide - 1, "right") - 1
+            values = cosine[rows, passages] / norm[live[rows]]
+            for text, k, value, start in zip(texts.tolist(), passages.tolist(), values.tolist(), starts.tolist()):
+                if value > best.get((text, k), (0.0, 0))[0]:
+                    best[text, k] = (value, start)
+        return best
 
 
 def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Block]:
@@ -232,9 +245,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         def search(frames: Iterator[pd.DataFrame], block: Block = block) -> Iterator[pd.DataFrame]:
             for frame in frames:
                 rows = []
-                for doc_id, text in zip(frame["doc_id"], frame["text"]):
+                for doc_id, found in zip(frame["doc_id"], block.find(frame["text"].tolist())):
                     items: dict[int, tuple] = {}
-                    for item, *rest in block.find(text):  # the best passage of an item
+                    for item, *rest in found:  # the best passage of an item
                         if item not in items or rest[2] > items[item][2]:
                             items[item] = tuple(rest)
                     rows += [(doc_id, item, *rest) for item, rest in sorted(items.items())]
@@ -252,8 +265,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def clean(batches: Iterator[pa.RecordBatch], block: Block = block) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                texts = batch.column(batch.schema.get_field_index("text"))
-                yield batch.filter(pa.array([not block.find(x.as_py()) for x in texts], pa.bool_()))
+                texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
+                yield batch.filter(pa.array([not found for found in block.find(texts)], pa.bool_()))
 
         docs = docs.mapInArrow(clean, docs.schema)
     return docs
