@@ -35,8 +35,6 @@ CHUNK = 2048
 #: Passages compared in one reading of the documents.
 BLOCK = 512
 RANK, OVERSAMPLE, POWER = 192, 16, 2
-#: Terms in more than this share of all documents carry no weight.
-COMMON = 0.1
 COSINE = 0.35
 SAME, PARAPHRASE = 0.8, 0.5
 #: Rows in which the partial products of the SVD are summed.
@@ -106,8 +104,7 @@ def document_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.n
 
 def vector(words: list[bytes], terms: dict[bytes, int], weight: np.ndarray) -> tuple[list[int], list[float]]:
     tf = Counter(terms[w] for w in words if w in terms)
-    found = [(t, (1 + math.log(n)) * weight[t]) for t, n in tf.items() if weight[t] > 0]
-    return [t for t, _ in found], [float(x) for _, x in found]
+    return list(tf), [float((1 + math.log(n)) * weight[t]) for t, n in tf.items()]
 
 
 def latent_space(spark: SparkSession, vectors: list[tuple[list[int], list[float]]], n_terms: int, rank: int = RANK) -> np.ndarray:
@@ -148,8 +145,7 @@ class Block:
     def __init__(self, items: list[int], parts: list[list[bytes]], terms: dict[bytes, int], weight: np.ndarray, space: np.ndarray):
         self.items, self.parts = items, parts
         self.answers = [answer_of(p) for p in parts]
-        # only terms with a weight are looked up in documents
-        self.terms = {w: t for w, t in terms.items() if weight[t] > 0}
+        self.terms = terms
         self.latent = space * weight[:, None].astype(np.float32)
         queries = np.stack([self._project(*vector(p, terms, weight), space) for p in parts])
         norm = np.linalg.norm(queries, axis=1, keepdims=True)
@@ -226,9 +222,8 @@ def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Block]:
         parts = [p for _, p in taken]
         terms = {w: t for t, w in enumerate(sorted({w for p in parts for w in p}))}
         seen, rows = document_frequencies(docs, terms)
-        weight = np.where(seen <= max(COMMON * rows, 1), np.log((1 + rows) / (1 + seen)) + 0.1, 0.0)
-        if not weight.any():
-            continue
+        # above zero for every term: a passage that most documents hold is a leak in all of them
+        weight = np.log((1 + rows) / (1 + seen)) + 0.1
         space = latent_space(spark, [vector(p, terms, weight) for p in parts], len(terms))
         yield Block([i for i, _ in taken], parts, terms, weight, space)
 

@@ -161,6 +161,15 @@ def test_leaks_are_found_and_clean_documents_left(spark):
     assert sorted(r.doc_id or -1 for r in decontaminate.decontaminate(table, benchmark).collect()) == sorted([-1, *range(30, 50), 60, 61])
 
 
+@pytest.mark.parametrize("holders, others", [(20, 40), (2, 6), (9, 0)])
+def test_leaks_that_many_documents_hold_are_found(spark, holders, others):
+    item = prose(700, 40)
+    docs = [(i, f"{prose(710 + i, 70)} {item} {prose(780 + i, 50)}") for i in range(holders)] + [(100 + i, prose(850 + i, 120)) for i in range(others)]
+    table, benchmark = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.contaminated(table, benchmark).collect()) == list(range(holders))
+    assert sorted(r.doc_id for r in decontaminate.decontaminate(table, benchmark).collect()) == [100 + i for i in range(others)]
+
+
 def test_query_finds_what_a_search_for_runs_of_words_finds(spark, documents):
     bench = {r.item_id: decontaminate.words_of(r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()}
     expected = set()
