@@ -2,9 +2,9 @@
 
 Benchmark texts are cut into passages, taken in blocks of a fixed size. A block's terms are weighted by
 their document frequency over the whole corpus, and a randomised SVD of its TF-IDF matrix,
-whose products are summed over partitions, gives the latent space. Every document is then
-read in overlapping windows, each window is projected and compared with all passages of the block, and
-candidates by cosine are checked word by word: a longest common subsequence that covers the
+whose products are summed over partitions, gives the latent space, with a direction for each passage. Every
+document is then read in overlapping windows, about as wide as the passage, each window is projected and compared with all passages of the block, and
+all candidates by cosine, or by how much of the passage's weight they hold, are checked word by word: a longest common subsequence that covers the
 passage, or half of it with the passage's last sentence (the answer) intact.
 
 Documents are never joined with each other or shuffled. What is shipped to the tasks is bounded
@@ -27,15 +27,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Words of a benchmark passage and of a document window, and how far apart they start.
+#: Words of a benchmark passage and of the widest document window, and how far apart they start.
 PASSAGE, PASSAGE_STEP = 64, 32
 WINDOW, WINDOW_STEP = 64, 16
+#: Longest passage, in words, that windows of so many steps are compared with: a short one would drown in a wide window.
+WIDTHS = ((16, 2), (32, 3), (PASSAGE, WINDOW // WINDOW_STEP))
 #: Steps whose windows are projected at once.
 CHUNK = 2048
-#: Passages compared in one reading of the documents.
+#: Passages compared in one reading of the documents. The space has a direction for each, or those beyond its rank would be lost.
 BLOCK = 512
-RANK, OVERSAMPLE, POWER = 192, 16, 2
+OVERSAMPLE, POWER = 16, 2
 COSINE = 0.35
+#: A window that holds so much of a passage's weight is a candidate too, whatever else stands in it.
+HELD = 0.7
 SAME, PARAPHRASE = 0.8, 0.5
 #: Rows in which the partial products of the SVD are summed.
 PARTS = 64
@@ -107,7 +111,7 @@ def vector(words: list[bytes], terms: dict[bytes, int], weight: np.ndarray) -> t
     return list(tf), [float((1 + math.log(n)) * weight[t]) for t, n in tf.items()]
 
 
-def latent_space(spark: SparkSession, vectors: list[tuple[list[int], list[float]]], n_terms: int, rank: int = RANK) -> np.ndarray:
+def latent_space(spark: SparkSession, vectors: list[tuple[list[int], list[float]]], n_terms: int, rank: int) -> np.ndarray:
     """Term vectors (n_terms, rank) of a randomised SVD; each product is summed over the partitions of the passages."""
     rows = spark.createDataFrame(vectors, "terms array<int>, weights array<double>").repartition(8)
     width = min(rank + OVERSAMPLE, n_terms)
@@ -150,6 +154,13 @@ class Block:
         queries = np.stack([self._project(*vector(p, terms, weight), space) for p in parts])
         norm = np.linalg.norm(queries, axis=1, keepdims=True)
         self.queries = np.divide(queries, norm, out=np.zeros_like(queries), where=norm > 0).T.copy()
+        sizes, low = np.array([len(p) for p in parts]), 0
+        self.widths: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []  # steps of a window, its passages, their vectors and lengths
+        for high, steps in WIDTHS:
+            of = np.flatnonzero((sizes > low) & (sizes <= high))
+            if len(of):
+                self.widths.append((steps, of, self.queries[:, of].copy(), norm[of, 0]))
+            low = high
 
     @staticmethod
     def _project(terms: list[int], weights: list[float], space: np.ndarray) -> np.ndarray:
@@ -171,22 +182,28 @@ class Block:
             at = np.flatnonzero(term >= 0)
             steps.append(base + at // WINDOW_STEP)
             terms.append(term[at])
-        best = self._windows(np.concatenate(steps), np.concatenate(terms), bases) if texts else {}
+        hits = self._windows(np.concatenate(steps), np.concatenate(terms), bases) if texts else {}
         out: list[list[tuple[int, int, float, float, bool]]] = [[] for _ in texts]
-        for (text, k), (cosine, step) in best.items():
-            part, words, start = self.parts[k], split[text], max(0, step - int(bases[text])) * WINDOW_STEP
-            near = words[max(0, start - len(part)) : start + WINDOW + len(part)]
-            share = lcs(part, near) / len(part)
-            if share >= PARAPHRASE:
-                answered = _contains(near, self.answers[k])
-                if share >= SAME or answered:
-                    out[text].append((self.items[k], start, cosine, share, answered))
+        for (text, k), windows in hits.items():
+            part, words, best = self.parts[k], split[text], None
+            for cosine, step in sorted(windows, reverse=True):
+                start = max(0, step - int(bases[text])) * WINDOW_STEP
+                near = words[max(0, start - len(part)) : start + WINDOW + len(part)]
+                share = lcs(part, near) / len(part)
+                if share >= PARAPHRASE and (best is None or share > best[3]):
+                    answered = _contains(near, self.answers[k])
+                    if share >= SAME or answered:
+                        best = (self.items[k], start, cosine, share, answered)
+                        if share == 1:
+                            break
+            if best:
+                out[text].append(best)
         return out
 
-    def _windows(self, step: np.ndarray, term: np.ndarray, bases: np.ndarray) -> dict[tuple[int, int], tuple[float, int]]:
-        """Best (cosine, first step) of each text and passage that reach ``COSINE``; ``CHUNK`` steps at once."""
+    def _windows(self, step: np.ndarray, term: np.ndarray, bases: np.ndarray) -> dict[tuple[int, int], list[tuple[float, int]]]:
+        """(cosine, first step) of every window that reaches ``COSINE`` or ``HELD``, by text and passage; ``CHUNK`` steps at once."""
         wide = WINDOW // WINDOW_STEP
-        best: dict[tuple[int, int], tuple[float, int]] = {}
+        hits: dict[tuple[int, int], list[tuple[float, int]]] = {}
         for base in range(0, int(step[-1]) + 1 if len(step) else 0, CHUNK):
             low, high = np.searchsorted(step, (base, base + CHUNK + wide - 1))
             if low == high:
@@ -195,20 +212,21 @@ class Block:
             cut = np.flatnonzero(np.diff(own, prepend=-1))
             sums = np.zeros((CHUNK + wide - 1, self.latent.shape[1]), np.float32)
             sums[own[cut]] = np.add.reduceat(self.latent[term[low:high]], cut, axis=0)
-            windows = sums[:CHUNK].copy()
-            for i in range(1, wide):
-                windows += sums[i : i + CHUNK]
-            norm = np.sqrt(np.einsum("ij,ij->i", windows, windows))
-            live = np.flatnonzero(norm > 0)
-            cosine = windows[live] @ self.queries
-            rows, passages = np.nonzero(cosine >= COSINE * norm[live, None])
-            starts = live[rows] + base
-            texts = np.searchsorted(bases, starts + wide - 1, "right") - 1
-            values = cosine[rows, passages] / norm[live[rows]]
-            for text, k, value, start in zip(texts.tolist(), passages.tolist(), values.tolist(), starts.tolist()):
-                if value > best.get((text, k), (0.0, 0))[0]:
-                    best[text, k] = (value, start)
-        return best
+            windows, added = sums[:CHUNK].copy(), 1
+            for steps, of, queries, length in self.widths:
+                for i in range(added, steps):
+                    windows += sums[i : i + CHUNK]
+                added = steps
+                norm = np.sqrt(np.einsum("ij,ij->i", windows, windows))
+                live = np.flatnonzero(norm > 0)
+                cosine = windows[live] @ queries
+                rows, passages = np.nonzero((cosine >= COSINE * norm[live, None]) | (cosine >= HELD * length))
+                starts = live[rows] + base
+                texts = np.searchsorted(bases, starts + wide - 1, "right") - 1
+                values = cosine[rows, passages] / norm[live[rows]]
+                for text, k, value, start in zip(texts.tolist(), of[passages].tolist(), values.tolist(), starts.tolist()):
+                    hits.setdefault((text, k), []).append((value, start))
+        return hits
 
 
 def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Block]:
@@ -224,7 +242,7 @@ def blocks(docs: DataFrame, benchmark: DataFrame) -> Iterator[Block]:
         seen, rows = document_frequencies(docs, terms)
         # above zero for every term: a passage that most documents hold is a leak in all of them
         weight = np.log((1 + rows) / (1 + seen)) + 0.1
-        space = latent_space(spark, [vector(p, terms, weight) for p in parts], len(terms))
+        space = latent_space(spark, [vector(p, terms, weight) for p in parts], len(terms), len(parts))
         yield Block([i for i, _ in taken], parts, terms, weight, space)
 
 
