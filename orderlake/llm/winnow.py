@@ -66,7 +66,7 @@ def _chunk_anchors(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.
 def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
     """(number of the text, place in it, hash, hash of the bytes around it that an equal stretch can cover)."""
     out: list[tuple[np.ndarray, ...]] = []
-    group: list[tuple[int, int, bytes]] = []  # (text, where it starts in the text, bytes)
+    group: list[tuple[int, int, bytes, int, int]] = []  # (text, where it starts in the text, bytes, its own places: from, to)
     held = 0
 
     def flush() -> None:
@@ -76,7 +76,10 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
             text, at, gram, around = _chunk_anchors(data, ends, length)
             start = ends - np.array([len(g[2]) for g in group])
             number, base = np.array([g[0] for g in group]), np.array([g[1] for g in group])
-            out.append((number[text], at - start[text] + base[text], gram, around))
+            place = at - start[text] + base[text]
+            low, high = (np.array([g[k] for g in group])[text] for k in (3, 4))
+            own = (low <= place) & (place < high)
+            out.append((number[text][own], place[own], gram[own], around[own]))
             group.clear()
 
     reach = length - GRAM
@@ -84,11 +87,13 @@ def anchors(texts: list[bytes], length: int) -> tuple[np.ndarray, ...]:
         if len(text) < length:
             continue
         for start in range(0, max(1, len(text) - 2 * (reach + length)), CHUNK // 2):
-            part = text[start : start + CHUNK // 2 + 2 * (reach + length)]
+            end = start + CHUNK // 2 + 2 * (reach + length)
+            part = text[start:end]
             if held + len(part) > CHUNK:
                 flush()
                 held = 0
-            group.append((number, start, part))
+            # the surroundings of a chunk's own anchors lie whole in it, or end where the text does
+            group.append((number, start, part, start + reach if start else 0, start + CHUNK // 2 + reach if end < len(text) else len(text)))
             held += len(part)
     flush()
     if not out:

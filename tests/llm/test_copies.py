@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from llm_rows import ODD_ROWS, SF_DIR, prose
 
-from orderlake.llm import bwt, decontaminate, simhash, suffix
+from orderlake.llm import bwt, decontaminate, simhash, suffix, winnow
 from orderlake.llm.components import components
 from orderlake.llm.queries import QUERIES
 
@@ -115,6 +115,34 @@ def test_planted_repeats_equal_brute_force(spark, sizes):
     assert found == removal_by_hand(PLANTED)
 
 
+def test_near_copies_edited_at_chunk_borders_equal_brute_force(spark):
+    text = np.random.default_rng(4).integers(97, 123, 300_000).astype(np.uint8)
+    docs = [(0, text.tobytes().decode())]
+    for border in (131_072, 131_408, 262_144, 262_480):
+        for at in (border - 90, border - 30, border - 1, border, border + 30, border + 90):
+            part = text[border - 3000 : border + 3000].copy()
+            part[3000 + at - border] = 65
+            docs.append((len(docs), part.tobytes().decode()))
+    for k, border in enumerate((131_072, 131_408)):
+        edited = text.copy()
+        edited[[border - 30 - k, border + 40 + k, 262_144 - 20, 262_480 + 25]] = 66 + k
+        docs.append((len(docs), edited.tobytes().decode()))
+    found = {r.doc_id: tuple(r)[1:] for r in suffix.digest(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert found == removal_by_hand(docs)
+
+
+def test_surroundings_do_not_depend_on_chunks():
+    text = np.random.default_rng(6).integers(97, 101, 400_000).astype(np.uint8).tobytes()
+    _, at, gram, around = winnow.anchors([text], 100)
+    assert len(np.unique(at)) == len(at)
+    found = dict(zip(at.tolist(), zip(gram.tolist(), around.tolist())))
+    for border in (131_072, 131_408, 262_144, 262_480):
+        low = border - 1000
+        _, place, *hashes = winnow.anchors([text[low : low + 2000]], 100)
+        inner = {p + low: (g, a) for p, g, a in zip(place.tolist(), *(h.tolist() for h in hashes)) if 68 <= p < 1900}
+        assert inner == {p: v for p, v in found.items() if low + 68 <= p < low + 1900}
+
+
 def test_suffix_query_equals_brute_force(spark, documents):
     expected = removal_by_hand([(r.doc_id, r.text) for r in documents.collect()])
     found = {r.doc_id: tuple(r)[1:] for r in QUERIES["op5_suffix_dedup"](spark, SF_DIR).collect()}
