@@ -133,6 +133,15 @@ def test_runs_shared_by_pages_go_and_unique_ones_stay(spark, group):
     assert found == [(i, own[i]) for i in range(4)] + [(4, SHARED)] * 2
 
 
+@pytest.mark.parametrize("group", [400, 1])
+def test_copies_of_a_page_are_one_page(spark, group):
+    own, other = prose(30, 40), prose(31, 40)
+    pages = [(i, f"http://m.example/{i}?from={i}", f"<body><p>{SHARED}</p><p>{own}</p>") for i in range(2)]
+    pages += [(2, "http://m.example/other", f"<body><p>{SHARED}</p><p>{other}</p>")]
+    found = sorted((r.page_id, r.text) for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), group).collect())
+    assert found == [(0, own), (1, own), (2, other)]
+
+
 def test_shared_tokens_equal_brute_force():
     rng = np.random.default_rng(5)
     for _ in range(20):
