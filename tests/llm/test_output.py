@@ -142,6 +142,15 @@ def test_copies_of_a_page_are_one_page(spark, group):
     assert found == [(0, own), (1, own), (2, other)]
 
 
+@pytest.mark.parametrize("sizes", [{}, {"group_pages": 3}, {"group_pages": 3, "few_runs": 0}])
+def test_runs_are_found_between_any_two_pages_of_a_host_of_any_size(spark, sizes):
+    # each line but for a counter stands on two pages only; two words are no run
+    own, lines = [prose(900 + i, 12) for i in range(24)], [prose(940 + i, 20) for i in range(12)]
+    pages = [(i, f"http://large.example/{i}", f"<p>{lines[i % 12]} {i}</p><p>Thank you.</p><p>{own[i]}</p>") for i in range(24)]
+    found = sorted((r.page_id, r.text) for r in html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string").repartition(5), **sizes).collect())
+    assert found == [(i, f"Thank you.\n{own[i]}") for i in range(24)]
+
+
 def test_shared_tokens_equal_brute_force():
     rng = np.random.default_rng(5)
     for _ in range(20):
