@@ -56,16 +56,16 @@ def fingerprint(text: str | None, block: int = 1 << 16) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` (the fingerprint's bits as a bigint) of each row of ``docs`` (doc_id, text)."""
+    """``doc_id, content, fp`` (a hash of the text, and the fingerprint's bits as a bigint) of each row of ``docs`` (doc_id, text)."""
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             prints = np.fromiter(map(fingerprint, frame["text"]), np.uint64, len(frame))
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "fp": prints.view(np.int64)})
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "content": frame["content"], "fp": prints.view(np.int64)})
 
     # doc_id goes through as text: a null stays a null, and no id is rounded to a float
-    narrow = docs.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return narrow.mapInPandas(batches, "doc_id string, fp long").select(F.col("doc_id").cast("long").alias("doc_id"), "fp")
+    narrow = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.xxhash64("text").alias("content"), "text")
+    return narrow.mapInPandas(batches, "doc_id string, content long, fp long").select(F.col("doc_id").cast("long").alias("doc_id"), "content", "fp")
 
 
 def _split(values: np.ndarray, first: np.ndarray, last: np.ndarray, bit: int) -> np.ndarray:
@@ -194,6 +194,11 @@ def trie_links(prints: DataFrame, task_pair: int = TASK_PAIR) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, fp, component_id`` for each row of ``docs`` (doc_id, text)."""
+    return _rooted(docs).select("doc_id", "fp", "component_id")
+
+
+def _rooted(docs: DataFrame) -> DataFrame:
+    """``doc_id, content, fp, root, component_id``; ``root`` names the component, also where no row of it has a doc_id."""
     prints = durable(fingerprints(docs))
     leaves = durable(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     roots = components(trie_links(leaves.select("fp")))
@@ -201,21 +206,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
     smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return prints.join(rooted.join(smallest, "root").select("fp", "component_id"), "fp")
+    return prints.join(rooted.join(smallest, "root").select("fp", "root", "component_id"), "fp")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """One row of each component, that with the smallest doc_id, with the columns it came with.
 
-    Rows that share a doc_id are one document: one of them stays.
+    A row is its doc_id and text: of different texts under the smallest doc_id of a component, or without any, that with the
+    smallest hash stays, and of equal rows one.
     """
-    found = near_duplicates(docs.select("doc_id", "text"))
-    stay = durable(
-        found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy(F.col("doc_id").alias("__keep")).agg(F.count("*").alias("__rows"))
-    )
-    kept = docs.join(stay.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(stay["__keep"]))
+    content = F.xxhash64("text")
+    found = _rooted(docs.select("doc_id", "text"))
+    rows = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "doc_id", "content").agg(F.count("*").alias("rows"))
+    first = rows.groupBy("root", F.col("doc_id").alias("__keep")).agg(F.min(F.struct("content", "rows")).alias("first"))
+    stay = durable(first.select("__keep", F.col("first.content").alias("__content"), F.col("first.rows").alias("__rows")))
+    kept = docs.join(stay.hint("shuffle_hash"), docs["doc_id"].eqNullSafe(stay["__keep"]) & (content == stay["__content"]))
     if stay.filter("__rows > 1").isEmpty():
         return kept.select(*docs.columns)
     once = kept.filter("__rows = 1").select(*docs.columns)
-    return once.unionByName(kept.filter("__rows > 1").select(*docs.columns).dropDuplicates(["doc_id"]))
+    return once.unionByName(kept.filter("__rows > 1").select(*docs.columns, "__content").dropDuplicates(["doc_id", "__content"]).select(*docs.columns))

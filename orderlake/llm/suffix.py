@@ -12,8 +12,9 @@ both places, so only places with an equal anchor are looked at together:
 3. An anchor with more surroundings than a bundle holds is dealt over several; the earliest
    string of each interval then meets those of the other bundles by its digest.
 
-Defined results: a null or empty text has nothing to remove; rows that share a doc_id are one
-document and get the result of their own text; a null doc_id stands after all others; an empty table gives an empty
+Defined results: a null or empty text has nothing to remove; a row is
+its doc_id and text: equal rows are one document, different texts under one doc_id, or without one, are several and stand in
+the order of their hashes; a null doc_id stands after all others; an empty table gives an empty
 result.
 """
 
@@ -49,58 +50,58 @@ def _first_of_each(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """``group`` (the anchor's hash), ``around, key, at, covered``; within a batch all but the first of equal surroundings are covered."""
+    """``group`` (the anchor's hash), ``around, key, sub, at, covered``; within a batch all but the first of equal surroundings are covered."""
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = [(t or "").encode("utf-8", "replace") for t in frame["text"]]
             number, at, gram, around = winnow.anchors(texts, length)
-            key = frame["key"].to_numpy(np.int64)[number]
-            order, fresh = _first_of_each(gram, around, key, at)
-            gram, around, key, at = (x[order] for x in (gram, around, key, at))
+            key, sub = (frame[c].to_numpy(np.int64)[number] for c in ("key", "sub"))
+            order, fresh = _first_of_each(gram, around, key, sub, at)
+            gram, around, key, sub, at = (x[order] for x in (gram, around, key, sub, at))
             first = np.maximum.accumulate(np.where(fresh, np.arange(len(fresh)), 0))
-            again = ~fresh & ((key != key[first]) | (at != at[first]))  # the same place of a repeated row is no repetition
+            again = ~fresh & ((key != key[first]) | (sub != sub[first]) | (at != at[first]))  # the same place of a repeated row is no repetition
             gram = np.where(again, gram ^ np.arange(len(gram), dtype=np.uint64), gram)  # spreads settled rows
             around = np.where(again, 0, around.view(np.int64))
-            yield pd.DataFrame({"group": gram.view(np.int64), "around": around, "key": key, "at": at.astype(np.int32), "covered": again})
+            yield pd.DataFrame({"group": gram.view(np.int64), "around": around, "key": key, "sub": sub, "at": at.astype(np.int32), "covered": again})
 
-    return docs.select("key", "text").mapInPandas(batches, "group long, around long, key long, at int, covered boolean")
+    return docs.select("key", "sub", "text").mapInPandas(batches, "group long, around long, key long, sub long, at int, covered boolean")
 
 
 def places(docs: DataFrame, length: int) -> DataFrame:
     """Per document: ``covered`` (anchors covered with all their surroundings) and ``open`` (anchor, place, its surroundings in number)."""
     found = occurrences(docs, length).repartition("group")  # one shuffle for both windows
-    same = Window.partitionBy("group", "around").orderBy("key", "at")
+    same = Window.partitionBy("group", "around").orderBy("key", "sub", "at")
     ranked = found.withColumn("rank", F.when(F.col("covered"), F.lit(2)).otherwise(F.rank().over(same)))
     group = Window.partitionBy("group")
     kinds = ranked.withColumn("kinds", F.sum((F.col("rank") == 1).cast("long")).over(group))
     told = kinds.filter((F.col("rank") > 1) | (F.col("kinds") > 1))
-    return told.groupBy("key").agg(
+    return told.groupBy("key", "sub").agg(
         F.collect_list(F.when(F.col("rank") > 1, F.col("at"))).alias("covered"),
         F.collect_set(F.when(F.col("rank") == 1, F.struct("group", "at", "kinds"))).alias("open"),
     )
 
 
 def surroundings(docs: DataFrame, found: DataFrame, length: int) -> DataFrame:
-    """``gram, kinds, key, start, anchor, bytes`` of every open anchor; ``anchor``: its place in ``bytes``."""
+    """``gram, kinds, key, sub, start, anchor, bytes`` of every open anchor; ``anchor``: its place in ``bytes``."""
     reach = length - winnow.GRAM
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = []
-            for key, text, places in zip(frame["key"], frame["text"], frame["open"]):
+            for key, sub, text, places in zip(frame["key"], frame["sub"], frame["text"], frame["open"]):
                 data = (text or "").encode("utf-8", "replace")
                 for place in places:
                     start = max(0, place["at"] - reach)
-                    rows.append((place["group"], place["kinds"], key, start, place["at"] - start, data[start : place["at"] + length]))
-            yield pd.DataFrame(rows, columns=["gram", "kinds", "key", "start", "anchor", "bytes"])
+                    rows.append((place["group"], place["kinds"], key, sub, start, place["at"] - start, data[start : place["at"] + length]))
+            yield pd.DataFrame(rows, columns=["gram", "kinds", "key", "sub", "start", "anchor", "bytes"])
 
-    opened = found.filter(F.size("open") > 0).select(F.col("key").alias("__key"), "open").hint("shuffle_hash")
-    joined = docs.join(opened, docs["key"] == opened["__key"]).select("key", "text", "open")
-    return joined.mapInPandas(batches, "gram long, kinds long, key long, start int, anchor int, bytes binary")
+    opened = found.filter(F.size("open") > 0).select(F.col("key").alias("__key"), F.col("sub").alias("__sub"), "open").hint("shuffle_hash")
+    joined = docs.join(opened, (docs["key"] == opened["__key"]) & (docs["sub"] == opened["__sub"])).select("key", "sub", "text", "open")
+    return joined.mapInPandas(batches, "gram long, kinds long, key long, sub long, start int, anchor int, bytes binary")
 
 
-FOUND = "key long, start int, h1 long, h2 long, dealt boolean"
+FOUND = "key long, sub long, start int, h1 long, h2 long, dealt boolean"
 
 
 def _agreeing(pieces: Callable[[int, int], tuple | None], n: int, reach: int) -> list[int]:
@@ -141,7 +142,7 @@ def trimmed(frame: pd.DataFrame, length: int) -> pd.DataFrame:
             rows.append((i, 0, data[i]))
         elif before + after >= reach:
             rows.append((i, low, data[i][low:high]))
-    kept = frame.iloc[[r[0] for r in rows]][["key", "start", "dealt"]].reset_index(drop=True)
+    kept = frame.iloc[[r[0] for r in rows]][["key", "sub", "start", "dealt"]].reset_index(drop=True)
     kept["start"] += np.array([r[1] for r in rows], kept["start"].dtype)
     kept["bytes"] = [r[2] for r in rows]
     return kept
@@ -149,9 +150,9 @@ def trimmed(frame: pd.DataFrame, length: int) -> pd.DataFrame:
 
 def repeats_in_bundle(frame: pd.DataFrame, length: int, shard_size: int) -> pd.DataFrame:
     """Starts of covered strings (``dealt`` false); where the anchor is dealt over bundles, also digests of the earliest ones."""
-    frame = trimmed(frame, length).sort_values(["key", "start", "bytes"], ignore_index=True)
+    frame = trimmed(frame, length).sort_values(["key", "sub", "start", "bytes"], ignore_index=True)
     if frame.empty:
-        return pd.DataFrame({"key": [], "start": [], "h1": [], "h2": [], "dealt": []})
+        return pd.DataFrame({"key": [], "sub": [], "start": [], "h1": [], "h2": [], "dealt": []})
     strings = frame["bytes"].tolist()
     parts = [bwt.shard(strings[i : i + shard_size]) for i in range(0, len(strings), shard_size)]
     merged = bwt.merge_all(parts, length)
@@ -159,40 +160,40 @@ def repeats_in_bundle(frame: pd.DataFrame, length: int, shard_size: int) -> pd.D
     lengths = np.array([len(s) + 1 for s in strings])
     first = np.cumsum(lengths) - lengths
     string = np.searchsorted(first, rows, "right") - 1
-    key = frame["key"].to_numpy(np.int64)[string]
+    key, sub = (frame[c].to_numpy(np.int64)[string] for c in ("key", "sub"))
     start = frame["start"].to_numpy(np.int64)[string] + rows - first[string]
-    order = np.lexsort((start, key, interval))
-    interval, key, start, rows, string = interval[order], key[order], start[order], rows[order], string[order]
+    order = np.lexsort((start, sub, key, interval))
+    interval, key, sub, start, rows, string = (x[order] for x in (interval, key, sub, start, rows, string))
     head = np.ones(len(order), bool)
     head[1:] = interval[1:] != interval[:-1]
     earliest = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
-    covered = (key != key[earliest]) | (start != start[earliest])
-    out = pd.DataFrame({"key": key[covered], "start": start[covered], "h1": 0, "h2": 0, "dealt": False})
+    covered = (key != key[earliest]) | (sub != sub[earliest]) | (start != start[earliest])
+    out = pd.DataFrame({"key": key[covered], "sub": sub[covered], "start": start[covered], "h1": 0, "h2": 0, "dealt": False})
     if not frame["dealt"].any():
         return out
     top = np.flatnonzero(head & frame["dealt"].to_numpy(bool)[string])
     digests = [hashlib.blake2b(strings[s][r : r + length], digest_size=16).digest() for s, r in zip(string[top], rows[top] - first[string[top]])]
     halves = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-    dealt = pd.DataFrame({"key": key[top], "start": start[top], "h1": halves[:, 0], "h2": halves[:, 1], "dealt": True})
+    dealt = pd.DataFrame({"key": key[top], "sub": sub[top], "start": start[top], "h1": halves[:, 0], "h2": halves[:, 1], "dealt": True})
     return pd.concat([out, dealt], ignore_index=True)
 
 
 def repeated_strings(around: DataFrame, length: int, bundle: int = BUNDLE, shard_size: int = SHARD) -> DataFrame:
-    """``key, start`` of strings that occur earlier, among the open surroundings."""
+    """``key, sub, start`` of strings that occur earlier, among the open surroundings."""
     total = around.count()
     bundles = max(1, -(-total // bundle))
     dealt = F.col("kinds") > bundle
     whole = F.pmod(F.xxhash64("gram"), F.lit(bundles))
-    part = F.pmod(F.xxhash64("gram", F.pmod(F.xxhash64("key", "start"), F.ceil(F.col("kinds") / bundle))), F.lit(bundles * 16)) + bundles
+    part = F.pmod(F.xxhash64("gram", F.pmod(F.xxhash64("key", "sub", "start"), F.ceil(F.col("kinds") / bundle))), F.lit(bundles * 16)) + bundles
     placed = around.withColumn("dealt", dealt).withColumn("bundle", F.when(dealt, part).otherwise(whole))
     found = placed.groupBy("bundle").applyInPandas(lambda frame: repeats_in_bundle(frame, length, shard_size), FOUND)
     if around.filter(dealt).isEmpty():
-        return found.select("key", "start")
+        return found.select("key", "sub", "start")
     found = durable(found)
     across = found.filter("dealt")
-    earliest = across.groupBy("h1", "h2").agg(F.min(F.struct("key", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    later = across.join(earliest, ["h1", "h2"]).filter(F.struct("key", "start") != F.col("first"))
-    return found.filter("NOT dealt").select("key", "start").unionByName(later.select("key", "start"))
+    earliest = across.groupBy("h1", "h2").agg(F.min(F.struct("key", "sub", "start")).alias("first"), F.count("*").alias("n")).filter("n > 1")
+    later = across.join(earliest, ["h1", "h2"]).filter(F.struct("key", "sub", "start") != F.col("first"))
+    return found.filter("NOT dealt").select("key", "sub", "start").unionByName(later.select("key", "sub", "start"))
 
 
 def spans(covered: list[int], starts: list[int], size: int, length: int) -> list[tuple[int, int]]:
@@ -211,14 +212,20 @@ def spans(covered: list[int], starts: list[int], size: int, length: int) -> list
 def marked(docs: DataFrame, length: int = LENGTH, bundle: int = BUNDLE, shard_size: int = SHARD) -> DataFrame:
     """``docs`` with ``__covered`` and ``__starts``, from which ``spans`` makes the removed runs of a row."""
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST))
-    narrow = docs.select(key.alias("key"), "text")
+    # where every doc_id has one text alone, the doc_id says it all
+    texts = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"))
+    sub = F.lit(0).cast("long") if texts.filter("low <> high").isEmpty() else F.xxhash64("text")
+    # a null doc_id is no doc_id, not even the largest
+    sub = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(sub)
+    narrow = docs.select(key.alias("key"), sub.alias("sub"), "text")
     found = durable(places(narrow, length))
     release(docs.sparkSession)
     around = durable(surroundings(narrow, found, length))
     release(docs.sparkSession)
-    starts = repeated_strings(around, length, bundle, shard_size).groupBy("key").agg(F.collect_set("start").alias("__starts"))
-    told = found.select("key", F.col("covered").alias("__covered")).join(starts, "key", "full").withColumnRenamed("key", "__key")
-    return docs.join(told.hint("shuffle_hash"), key == F.col("__key"), "left").drop("__key")
+    starts = repeated_strings(around, length, bundle, shard_size).groupBy("key", "sub").agg(F.collect_set("start").alias("__starts"))
+    told = found.select("key", "sub", F.col("covered").alias("__covered")).join(starts, ["key", "sub"], "full")
+    told = told.withColumnsRenamed({"key": "__key", "sub": "__sub"})
+    return docs.join(told.hint("shuffle_hash"), (key == F.col("__key")) & (sub == F.col("__sub")), "left").drop("__key", "__sub")
 
 
 def remaining(text: str | None, covered, starts, length: int = LENGTH) -> tuple[bytes, bytes, list[tuple[int, int]]]:
