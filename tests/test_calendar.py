@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import by, rows
+from helpers import by, rows
 
 from orderlake.plans import calendar as cal
 

@@ -1,7 +1,7 @@
 """Snapshot comparison: keyed, multiset, baseline, headers, and the cases that break naive versions."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from orderlake.contract import ORDER_ITEMS, TableContract

@@ -1,6 +1,6 @@
 """Collapse of keyed and multiset logs, whole and incremental, and the replication feed."""
 
-from conftest import rows
+from helpers import rows
 
 from orderlake.contract import ORDER_ITEM_OPTIONS, ORDER_ITEMS
 from orderlake.plans.current_state import collapse, collapse_keyed, collapse_onto

@@ -4,7 +4,7 @@ from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from orderlake.contract import ORDER_ITEMS, Layout, TableContract

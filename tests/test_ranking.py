@@ -1,7 +1,7 @@
 """Distributed ranks against the single-task window functions they replace."""
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

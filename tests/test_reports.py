@@ -1,6 +1,6 @@
 from datetime import date
 
-from conftest import rows
+from helpers import rows
 
 from orderlake.plans import reports
 
