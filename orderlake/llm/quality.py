@@ -134,11 +134,11 @@ def judge(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS) -
     kept = F.when(F.col("base_failed"), F.lit(False))
     for rule in ordered:
         kept = kept.when(rule.fails, F.lit(False))
-    return with_counts(docs, text).select(ROW, *COUNTS, "base_failed", kept.otherwise(F.lit(True)).alias("kept"))
+    # a filter moves below what it filters by, which would copy the counts into it many times; not so past a row number
+    kept = kept.otherwise(F.lit(True)) & (F.monotonically_increasing_id() >= 0)
+    return with_counts(docs, text).select(ROW, *COUNTS, "base_failed", kept.alias("kept"))
 
 
 def quality_filter(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows that no rule rejects, with the columns they came with."""
-    # a filter moves below what it filters by, which would copy the counts into it many times; not so past a row number
-    kept = F.col("kept") & (F.monotonically_increasing_id() >= 0)
-    return judge(docs, text).select(ROW, kept.alias("kept")).filter("kept").select(f"{ROW}.*")
+    return judge(docs, text).filter("kept").select(f"{ROW}.*")
