@@ -58,16 +58,18 @@ class TableContract:
 
     ``keys`` empty means the table is a multiset: duplicates are meaningful and a
     row has no identity beyond its values. ``static`` tables are reloaded whole
-    and have no change log.
+    and have no change log. Rows that agree in ``together`` are stored in one bucket;
+    it is part of the keys, if there are any.
     """
 
     name: str
     keys: tuple[str, ...] = ()
     static: bool = False
+    together: tuple[str, ...] = ()
 
 
-ORDER_ITEMS = TableContract("order_items", ("order_id", "lineitem_id"))
-ORDER_ITEM_OPTIONS = TableContract("order_item_options")
+ORDER_ITEMS = TableContract("order_items", ("order_id", "lineitem_id"), together=("order_id",))
+ORDER_ITEM_OPTIONS = TableContract("order_item_options", together=("order_id",))
 DATE_DIM = TableContract("date_dim", ("date_key",), static=True)
 
 CONTRACTS = {c.name: c for c in (ORDER_ITEMS, ORDER_ITEM_OPTIONS, DATE_DIM)}
@@ -80,6 +82,8 @@ class Layout:
 
     root: str
     source_schema: str = "source"
+    #: About how many rows a bucket of a current or fact table gets.
+    bucket_rows: int = 1_000_000
 
     @property
     def snapshots(self) -> str:

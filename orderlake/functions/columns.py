@@ -20,6 +20,11 @@ def day_of(moment: Column | str) -> Column:
     return _column(moment).try_cast("date")
 
 
+def month_of(day: Column | str) -> Column:
+    """Month of a day as yyyy-MM; ``undated`` without one."""
+    return F.coalesce(F.date_format(_column(day), "yyyy-MM"), F.lit("undated"))
+
+
 def instant_of(moment: Column | str) -> Column:
     return _column(moment).try_cast("timestamp")
 

@@ -22,6 +22,13 @@ _COPY = "__orderlake_copy"
 _RUN = 4096
 
 
+def matching(df: DataFrame, other: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join on all columns of ``other``, NULLs matching."""
+    renamed = other.toDF(*(f"__orderlake_{c}" for c in other.columns))
+    same = [F.col(c).eqNullSafe(F.col(f"__orderlake_{c}")) for c in other.columns]
+    return df.join(renamed, same, how)
+
+
 def net_rows(sides: Sequence[tuple[DataFrame, Column]], columns: Sequence[str]) -> DataFrame:
     """``columns`` plus NET, the sum of the weights of equal rows, where it is not zero."""
     weighted = [df.select(*columns, weight.cast("bigint").alias(NET)) for df, weight in sides]

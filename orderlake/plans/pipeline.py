@@ -6,7 +6,9 @@ storage that every node reaches and a lost executor costs at most one stage's wo
 
 from __future__ import annotations
 
+from collections.abc import Callable, Collection, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date
 from functools import reduce
 
@@ -27,20 +29,33 @@ from ..contract import (
     Layout,
     TableContract,
 )
+from ..functions import day_of, month_of
+from ..operators import net_rows
+from ..session import durable
 from ..sources import (
+    BUCKET,
+    is_bucketed,
     logged_dates,
+    names,
+    new_bucket,
     pending_pairs,
+    place,
+    pointer,
+    read_buckets,
     read_log,
     read_snapshot,
     read_table,
-    replace_table,
+    replace_keys,
     resolve_pair,
+    rows_of,
     snapshot_dates,
     table_exists,
+    with_bucket,
+    write_buckets,
     write_log,
     write_table,
 )
-from ..streaming.late_orders import affected_since, refresh_daily_value
+from ..streaming.late_orders import refresh_daily_value
 from . import calendar as cal
 from . import commerce, customers
 from .change_capture import capture_changes
@@ -61,13 +76,12 @@ def log_snapshot(
 def log_pending(spark: SparkSession, layout: Layout, tables=tuple(LOGGED)) -> dict[str, dict[str, dict[str, int]]]:
     """Log every snapshot after the last logged one, step by step."""
     available = snapshot_dates(spark, layout)
-    return {
-        table: {
-            current: log_snapshot(spark, layout, LOGGED[table], current, previous)
-            for current, previous in pending_pairs(available, logged_dates(spark, layout, table))
-        }
-        for table in tables
-    }
+
+    def log_table(table: str) -> dict[str, dict[str, int]]:
+        pairs = pending_pairs(available, logged_dates(spark, layout, table))
+        return {current: log_snapshot(spark, layout, LOGGED[table], current, previous) for current, previous in pairs}
+
+    return dict(zip(tables, _side_by_side(log_table, tables)))
 
 
 def log_pair(
@@ -85,21 +99,35 @@ def refresh_current(
     """Row counts of the current tables, None for one that had no change.
 
     Collapses the whole log, or with ``after`` only the batches later than that onto the
-    tables as they are.
+    buckets they touch.
     """
     _open_run(spark, layout)
-    counts: dict[str, int | None] = {}
-    for table in (t for t in tables if t in LOGGED):
-        contract, location = LOGGED[table], layout.current(table)
-        if after is None or not table_exists(spark, f"{location}/_SUCCESS"):
-            rows = collapse(read_log(spark, layout, table), contract)
-            counts[table] = write_table(rows.hint("rebalance"), location)
-            continue
-        batches = read_log(spark, layout, table, after=after)
-        counts[table] = None
-        if not batches.isEmpty():
-            counts[table] = replace_table(collapse_onto(read_table(spark, location), batches, contract), location)
-    return counts
+    chosen = [t for t in tables if t in LOGGED]
+    return dict(zip(chosen, _side_by_side(lambda t: _refresh_table(spark, layout, LOGGED[t], after), chosen)))
+
+
+def _side_by_side(job: Callable, items: Iterable, at_once: int = 4) -> list:
+    """Results of ``job`` for each item; submitted together, so that small jobs do not leave executors idle."""
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return list(pool.map(job, items))
+
+
+def _refresh_table(spark: SparkSession, layout: Layout, contract: TableContract, after: str | None) -> int | None:
+    location, together = layout.current(contract.name), list(contract.together)
+    if not is_bucketed(spark, location):
+        after = None
+    log = read_log(spark, layout, contract.name, after=after)
+    size = log.count()  # from the files' footers
+    if after is not None and not size:
+        return None
+    fresh = new_bucket(logged_dates(spark, layout, contract.name)[-1], together, size, layout.bucket_rows)
+    if after is None:
+        return write_buckets(collapse(log, contract).withColumn(BUCKET, fresh), location).rows
+    placed = durable(place(read_buckets(spark, location), log.select(*together).distinct(), fresh))
+    touched, batch = names(placed), with_bucket(log, placed)
+    if not pointer(spark, location).buckets.keys() & set(touched):  # none of these orders was there before
+        return write_buckets(collapse(batch, contract), location, touched).rows
+    return write_buckets(collapse_onto(read_buckets(spark, location, touched), batch, contract), location, touched).rows
 
 
 def refresh_calendar(spark: SparkSession, layout: Layout, start: str | None = None, end: str | None = None) -> int:
@@ -112,12 +140,57 @@ def refresh_calendar(spark: SparkSession, layout: Layout, start: str | None = No
 
 
 def refresh_facts(spark: SparkSession, layout: Layout, outlier_threshold: float = OUTLIER_REVENUE) -> dict[str, int]:
+    """All facts anew, in the buckets of the current order items."""
     _open_run(spark, layout)
-    items = read_table(spark, layout.current(ORDER_ITEMS.name))
+    items = _in_buckets(spark, layout.current(ORDER_ITEMS.name))
     options = read_table(spark, layout.current(ORDER_ITEM_OPTIONS.name))
-    lines = write_table(line_item_facts(items, options, outlier_threshold), layout.fact(LINES))
-    orders = order_facts(read_table(spark, layout.fact(LINES)), outlier_threshold)
-    return {LINES: lines, ORDERS: write_table(orders, layout.fact(ORDERS))}
+    lines = write_buckets(line_item_facts(items, options, outlier_threshold), layout.fact(LINES))
+    facts = order_facts(read_buckets(spark, layout.fact(LINES)), outlier_threshold, [BUCKET])
+    return {LINES: lines.rows, ORDERS: write_buckets(facts, layout.fact(ORDERS)).rows}
+
+
+def _in_buckets(spark: SparkSession, location: str) -> DataFrame:
+    """A table with its BUCKET; one that was written as plain files is a single bucket."""
+    if is_bucketed(spark, location):
+        return read_buckets(spark, location)
+    return read_table(spark, location).withColumn(BUCKET, F.lit("all"))
+
+
+@dataclass(frozen=True)
+class Touched:
+    """What a batch changed: the first day of its orders and the months (yyyy-MM) of their lines, before or after it."""
+
+    first_day: date | None = None
+    months: frozenset[str] = frozenset()
+
+
+def update_facts(
+    spark: SparkSession, layout: Layout, after: str, outlier_threshold: float = OUTLIER_REVENUE
+) -> tuple[dict[str, int], Touched | None]:
+    """Facts of the orders that log batches later than ``after`` changed; all others keep their rows, buckets without any keep their files.
+
+    Returns row counts and what changed (None, with all facts made anew, where a table is not in buckets yet).
+    """
+    items_at, options_at = layout.current(ORDER_ITEMS.name), layout.current(ORDER_ITEM_OPTIONS.name)
+    lines_at, orders_at = layout.fact(LINES), layout.fact(ORDERS)
+    if not all(is_bucketed(spark, at) for at in (items_at, options_at, lines_at, orders_at)):
+        return refresh_facts(spark, layout, outlier_threshold), None
+    _open_run(spark, layout)
+    changed = durable(_changed_orders(spark, layout, after))
+    if changed.isEmpty():
+        return {LINES: pointer(spark, lines_at).rows, ORDERS: pointer(spark, orders_at).rows}, Touched()
+    items, options, old_lines, old_orders = _side_by_side(lambda at: rows_of(spark, at, changed), (items_at, options_at, lines_at, orders_at))
+    lines = durable(line_item_facts(items, options.drop(BUCKET), outlier_threshold))
+    orders = durable(order_facts(lines, outlier_threshold, [BUCKET]))
+    days = old_orders.select("order_date").unionAll(orders.select("order_date"))
+    moments = old_lines.select("creation_time_utc").unionAll(lines.select("creation_time_utc"))
+    touched = Touched(days.agg(F.min("order_date")).first()[0], _months(moments.select(month_of(day_of("creation_time_utc")))))
+    written = _side_by_side(lambda job: replace_keys(*job, changed), ((lines, lines_at), (orders, orders_at)))
+    return {LINES: written[0].rows, ORDERS: written[1].rows}, touched
+
+
+def _months(months: DataFrame) -> frozenset[str]:
+    return frozenset(r[0] for r in months.distinct().collect())
 
 
 def _changed_orders(spark: SparkSession, layout: Layout, after: str) -> DataFrame:
@@ -135,31 +208,65 @@ def refresh_marts(
     dormant_days: int = DORMANT_DAYS,
     period_days: int = PERIOD_DAYS,
     side_by_side: int = 4,
+    months: Collection[str] | None = None,
 ) -> dict[str, int]:
-    """All nine marts; without ``batch_min`` the daily value mart is rebuilt whole."""
+    """All nine marts.
+
+    Without ``batch_min`` the daily value and its trends are rebuilt whole, without ``months`` (those with changed lines or
+    calendar days) the daily sales.
+    """
     orders = read_table(spark, layout.fact(ORDERS))
     lines = read_table(spark, layout.fact(LINES))
     calendar = read_table(spark, layout.current(DATE_DIM.name))
     named = known_customers(orders)
     dated = named.select("user_id", "order_revenue", "order_date")
     end = as_of or dated.agg(F.max("order_date")).first()[0]
-
     daily = layout.mart("customer_clv_daily")
-    counts = {"customer_clv_daily": refresh_daily_value(spark, daily, dated, calendar, batch_min, end)["rows"]}
-    marts = {
-        "clv_trends": lambda: customers.value_trends(read_table(spark, daily)),
-        "customer_clv_tiers": lambda: customers.value_tiers(named),
-        "customer_rfm": lambda: customers.recency_frequency_monetary(dated, end, lookback_months),
-        "churn_indicators": lambda: customers.churn_indicators(dated, end, at_risk_days, dormant_days, period_days),
-        "sales_daily": lambda: commerce.sales_daily(regular(lines), calendar),
-        "loyalty_impact": lambda: customers.loyalty_impact(named),
-        "location_performance": lambda: commerce.location_performance(regular(orders)),
-        "discount_effectiveness": lambda: commerce.discount_effectiveness(regular(orders)),
-    }
-    # the eight marts need only the facts: submit them together so that small ones do not leave executors idle
-    with ThreadPoolExecutor(max_workers=side_by_side) as pool:
-        written = pool.map(lambda item: (item[0], write_table(item[1](), layout.mart(item[0]))), marts.items())
-        return counts | dict(written)
+
+    def value() -> dict[str, int]:
+        refreshed = refresh_daily_value(spark, daily, dated, calendar, batch_min, end)
+        since = None if refreshed["whole"] else f"{refreshed['floor']:%Y-%m}"
+        trends = _refresh_trends(spark, read_table(spark, daily), layout.mart("clv_trends"), since)
+        return {"customer_clv_daily": refreshed["rows"], "clv_trends": trends}
+
+    def single(name: str, mart: Callable[[], DataFrame]) -> Callable[[], dict[str, int]]:
+        return lambda: {name: write_table(mart(), layout.mart(name))}
+
+    # all need only the facts
+    jobs = [
+        value,
+        lambda: {"sales_daily": _refresh_sales(spark, lines, calendar, layout.mart("sales_daily"), months)},
+        single("customer_rfm", lambda: customers.recency_frequency_monetary(dated, end, lookback_months)),
+        single("customer_clv_tiers", lambda: customers.value_tiers(named)),
+        single("churn_indicators", lambda: customers.churn_indicators(dated, end, at_risk_days, dormant_days, period_days)),
+        single("loyalty_impact", lambda: customers.loyalty_impact(named)),
+        single("location_performance", lambda: commerce.location_performance(regular(orders))),
+        single("discount_effectiveness", lambda: commerce.discount_effectiveness(regular(orders))),
+    ]
+    return reduce(dict.__or__, _side_by_side(lambda job: job(), jobs, side_by_side))
+
+
+def _refresh_sales(spark: SparkSession, lines: DataFrame, calendar: DataFrame, location: str, months: Collection[str] | None) -> int:
+    """Daily sales with a bucket for each month, of ``months`` only if given."""
+    now = pointer(spark, location)
+    sold = regular(lines)
+    if months is not None and now:
+        if not months:
+            return now.rows
+        sold = sold.filter(month_of(day_of("creation_time_utc")).isin(*months))
+    sales = commerce.sales_daily(sold, calendar)
+    return write_buckets(sales.withColumn(BUCKET, month_of("order_date")), location, months if now else None).rows
+
+
+def _refresh_trends(spark: SparkSession, daily: DataFrame, location: str, since: str | None) -> int:
+    """Daily totals with a bucket for each month, from ``since`` (yyyy-MM) on if given."""
+    now = pointer(spark, location)
+    replaced = None
+    if since is not None and now:
+        daily = daily.filter(F.col("clv_month") >= since)
+        replaced = [month for month in now.buckets if month >= since]
+    trends = customers.value_trends(daily)
+    return write_buckets(trends.withColumn(BUCKET, month_of("clv_date")), location, replaced).rows
 
 
 def run_pipeline(
@@ -174,8 +281,8 @@ def run_pipeline(
 ) -> dict:
     """Snapshots to marts.
 
-    After a finished run the current tables take in only the new log batches, and the daily
-    value mart recomputes only the months they touch. ``full``, the first run, and a run
+    After a finished run the current tables take in only the new log batches, facts only the orders in
+    them, and the marts kept by month only the months they touch. ``full``, the first run, and a run
     after one that broke off start from the whole log: a broken one may have replaced the
     facts which say where the deleted orders were.
     """
@@ -184,23 +291,25 @@ def run_pipeline(
     done = None if full else _finished_through(spark, layout, parameters)
     if done and any(dt <= done for batches in report["log"].values() for dt in batches):
         done = None  # a step that the tables already hold was logged anew
-    old_min = _batch_min(spark, layout, done) if done else None
+    calendar_at = layout.current(DATE_DIM.name)
+    known_days = durable(read_table(spark, calendar_at)) if done else None
     report["current"] = refresh_current(spark, layout, after=done)
     report["date_dim"] = refresh_calendar(spark, layout, calendar_start, calendar_end)
-    report["facts"] = refresh_facts(spark, layout, outlier_threshold)
-    batch_min = None
-    if done:
-        # with no change at all the mart only has to reach the new as_of
-        batch_min = min((d for d in (old_min, _batch_min(spark, layout, done)) if d), default=date.max)
-    report["marts"] = refresh_marts(spark, layout, as_of, batch_min, **thresholds)
+    batch_min = months = None
+    if done is None:
+        report["facts"] = refresh_facts(spark, layout, outlier_threshold)
+    else:
+        report["facts"], touched = update_facts(spark, layout, done, outlier_threshold)
+        if touched:
+            # with no change at all the mart only has to reach the new as_of
+            batch_min = touched.first_day or date.max
+            days = net_rows([(read_table(spark, calendar_at), F.lit(1)), (known_days, F.lit(-1))], known_days.columns)
+            months = touched.months | _months(days.select(month_of("date_key")))
+    report["marts"] = refresh_marts(spark, layout, as_of, batch_min, months=months, **thresholds)
     _record(spark, layout, logged_dates(spark, layout, ORDER_ITEMS.name)[-1], True, parameters)
     return report
 
 
-def _batch_min(spark: SparkSession, layout: Layout, after: str) -> date | None:
-    return affected_since(_changed_orders(spark, layout, after), [read_table(spark, layout.fact(ORDERS))])
-
-
 def _finished_through(spark: SparkSession, layout: Layout, parameters: str | None = None) -> str | None:
     """Last log batch the marts contain, or None if a run is open, there was none, or it had other ``parameters``."""
     if not table_exists(spark, f"{layout.progress}/_SUCCESS"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,8 +44,8 @@ def line_item_facts(items: DataFrame, options: DataFrame, outlier_threshold: flo
     )
 
 
-def order_facts(lines: DataFrame, outlier_threshold: float = OUTLIER_REVENUE) -> DataFrame:
-    """One row per order.
+def order_facts(lines: DataFrame, outlier_threshold: float = OUTLIER_REVENUE, carried: Sequence[str] = ()) -> DataFrame:
+    """One row per order, with columns ``carried`` that all lines of an order share.
 
     Each attribute is its first non-NULL value by ``lineitem_id``. Outliers are flagged,
     never dropped.
@@ -54,7 +56,7 @@ def order_facts(lines: DataFrame, outlier_threshold: float = OUTLIER_REVENUE) ->
         by_line = F.min(F.when(value.isNotNull(), F.struct("lineitem_id", value.alias("v"))))
         return by_line.getField("v").alias(name)
 
-    rolled = lines.groupBy("order_id").agg(
+    rolled = lines.groupBy("order_id", *carried).agg(
         *(first_known(a) for a in ORDER_ATTRIBUTES),
         F.sum("net_revenue").alias("order_revenue"),
         F.sum("gross_revenue").alias("order_gross_revenue"),

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from .files import exists, partition_values, remove, rename
+from .buckets import BUCKET, pointer, read_buckets
+from .files import exists, partition_values, remove
 
 
 def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
@@ -15,7 +16,9 @@ def observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
 
 
 def read_table(spark: SparkSession, location: str) -> DataFrame:
-    return spark.read.parquet(location)
+    """A table as last written, whether in buckets or as plain files."""
+    now = pointer(spark, location)
+    return read_buckets(spark, location, at=now).drop(BUCKET) if now else spark.read.parquet(location)
 
 
 def table_exists(spark: SparkSession, location: str) -> bool:
@@ -29,18 +32,6 @@ def write_table(df: DataFrame, location: str) -> int:
     return metrics.get["rows"]
 
 
-def replace_table(df: DataFrame, location: str) -> int:
-    """``write_table`` for a ``df`` that reads the table it replaces: written beside it, then put in its place.
-
-    If the job is lost in between, the old or the new table is complete in one of the two places.
-    """
-    spark, beside = df.sparkSession, f"{location.rstrip('/')}.next"
-    rows = write_table(df, beside)
-    remove(spark, location)
-    rename(spark, beside, location)
-    return rows
-
-
 def write_months(df: DataFrame, location: str, month: str, day: str, whole: bool) -> dict:
     """Replace a month-partitioned table, or (``whole`` false) only the months ``df`` has.
 
