@@ -102,16 +102,39 @@ def dense_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     return rows.join(places, F.col(value).eqNullSafe(F.col("__orderlake_value")), "left").drop("__orderlake_value")
 
 
-def exact_median(df: DataFrame, value: str, key: str) -> float | None:
-    """Median of the non-NULL values: the mean of the one or two in the middle.
+#: A sketch of ranks is off by at most one in so many rows.
+_SKETCH = 100_000
 
-    For values with no bound on how many differ; the built-in ``median`` keeps every
-    distinct one in a single task. ``key`` (unique) splits a value that many rows share
-    over several range partitions.
+
+def median(df: DataFrame, value: str) -> DataFrame:
+    """One row ``median``: the exact median of the non-NULL values, the mean of the one or two in the middle; NULL without any.
+
+    A plan like any other, nothing runs before it does. A sketch gives two values between which the middle must lie, a few rows in a
+    hundred thousand apart. One pass counts what is below them and, by value, what is between: that short list holds the
+    answer. Ties are one entry of it, however many. Only sums per value and the sketch are gathered. A middle outside the bracket, which
+    the sketch's bound excludes, would fail the query.
     """
-    numbers = df.select(F.col(value).cast("double").alias(value), key).dropna(subset=[value])
-    numbered = _Numbered(numbers, [F.col(value), F.col(key)])
-    if not numbered.total:
-        return None
-    middle = {numbered.id_at((numbered.total - 1) // 2), numbered.id_at(numbered.total // 2)}
-    return numbered.rows.filter(F.col(_ID).isin(*middle)).agg(F.avg(value)).first()[0]
+    numbers = df.select(F.col(value).cast("double").alias("v")).dropna()
+    off = 4 / _SKETCH
+    ends = numbers.agg(F.percentile_approx("v", [0.5 - off, 0.5 + off], _SKETCH).alias("ends"))
+    low, high = (ends.select(F.col("ends")[i]).scalar() for i in (0, 1))
+    # what is outside counts on its side, what is between by its value
+    place = F.when(F.col("v") < low, 0).when(F.col("v") > high, 2).otherwise(1)
+    cells = numbers.groupBy(place.alias("place"), F.when(place == 1, F.col("v")).alias("v")).agg(F.count("*").alias("n"))
+    listed = cells.agg(F.array_sort(F.collect_list(F.struct("place", "v", "n"))).alias("cells"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+    def at(position: Column) -> Column:
+        """The cell that holds a 0-based position."""
+        kind = "struct<seen: bigint, cell: struct<place: int, v: double, n: bigint>>"
+        start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).alias("cell")).cast(kind)
+
+        def pass_by(so_far: Column, cell: Column) -> Column:
+            seen = so_far["seen"] + cell["n"]
+            return F.struct(seen.alias("seen"), F.coalesce(so_far["cell"], F.when(seen > position, cell)).alias("cell")).cast(kind)
+
+        cell = F.aggregate("cells", start, pass_by)["cell"]
+        missed = F.raise_error(F.lit("the median is not between the bounds of the sketch")).cast("double")
+        return F.when(cell["place"] == 1, cell["v"]).otherwise(F.when(cell.isNotNull(), missed))
+
+    middle = at(F.expr("(n - 1) div 2")) * 0.5 + at(F.expr("n div 2")) * 0.5
+    return listed.select(F.when(F.col("n") > 0, middle).alias("median"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import AT_RISK_COLUMNS, CHURN_STATES, LOYALTY_SEGMENTS, TIERS
-from ..operators import exact_median
+from ..operators import median
 
 
 def _in_domain(summary: DataFrame, column: str, domain: Sequence[str]) -> DataFrame:
@@ -127,13 +127,13 @@ def loyalty_comparison(loyalty: DataFrame) -> DataFrame:
 
 # locations -----------------------------------------------------------------
 def location_kpis(locations: DataFrame) -> DataFrame:
-    median = exact_median(locations, "avg_order_value", "restaurant_id")
-    return locations.agg(
+    totals = locations.agg(
         F.count(F.lit(1)).alias("locations"),
         F.max("total_revenue").alias("top_revenue"),
-        F.lit(median).cast("double").alias("median_order_value"),
         F.sum("total_revenue").alias("total_revenue"),
     )
+    middle = median(locations, "avg_order_value").scalar().alias("median_order_value")
+    return totals.select("locations", "top_revenue", middle, "total_revenue")
 
 
 def top_locations(locations: DataFrame, limit: int = 15) -> DataFrame:

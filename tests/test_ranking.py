@@ -5,7 +5,7 @@ from helpers import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from orderlake.operators import dense_rank, exact_median, ntiles
+from orderlake.operators import dense_rank, median, ntiles
 
 
 def population(spark, n):
@@ -35,4 +35,19 @@ def test_dense_rank_equals_the_window(spark, n):
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 10, 501])
 def test_median_equals_the_aggregate(spark, n):
     df = population(spark, n)
-    assert exact_median(df, "v", "user_id") == df.agg(F.median("v")).first()[0]
+    assert median(df, "v").collect() == df.agg(F.median("v").alias("median")).collect()
+
+
+@pytest.mark.parametrize("value", ["id * 37 % 100003", "CASE WHEN id < 60000 THEN 5D ELSE id END", "CASE WHEN id % 2 = 0 THEN -1e300 ELSE exp(id / 300) END"])
+def test_median_of_many_values(spark, value):
+    df = spark.range(200_001).selectExpr(f"cast({value} as double) AS v", "id").repartition(7)
+    assert median(df, "v").first()[0] == df.agg(F.median("v")).first()[0]
+    even = df.filter("id > 0")
+    assert median(even, "v").first()[0] == even.agg(F.median("v")).first()[0]
+
+
+def test_nothing_runs_before_the_median_is_asked_for(spark):
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    plan = median(population(spark, 100), "v")._jdf.queryExecution().executedPlan().toString()
+    assert set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+    assert "rangepartitioning" not in plan and "NestedLoop" not in plan
