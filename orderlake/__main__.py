@@ -19,7 +19,8 @@ from .session import build_session
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="orderlake")
     parser.add_argument("root", help="folder of snapshots, log, tables and marts")
-    parser.add_argument("--job", choices=("all", "log", "current", "calendar", "facts", "marts"), default="all")
+    parser.add_argument("--job", choices=("all", "log", "compact", "current", "calendar", "facts", "marts"), default="all")
+    parser.add_argument("--bucket-rows", type=int, default=Layout.bucket_rows, help="rows of a bucket of the current and fact tables")
     parser.add_argument("--source-schema", default="source", help="schema directory below each snapshot date")
     parser.add_argument("--tables", type=lambda t: tuple(t.split(",")), default=tuple(contract.LOGGED))
     parser.add_argument("--snapshot-date", help="log this snapshot only (default: every one not logged yet)")
@@ -39,12 +40,14 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
 
 
 def run(spark, options: argparse.Namespace):
-    layout = Layout(options.root.rstrip("/"), options.source_schema)
+    layout = Layout(options.root.rstrip("/"), options.source_schema, options.bucket_rows)
     thresholds = {n: getattr(options, n) for n in ("lookback_months", "at_risk_days", "dormant_days", "period_days")}
     if options.job == "log":
         if options.snapshot_date or options.prev_date:
             return pipeline.log_pair(spark, layout, options.snapshot_date, options.prev_date, options.tables)
         return pipeline.log_pending(spark, layout, [t for t in options.tables if t in contract.LOGGED])
+    if options.job == "compact":
+        return pipeline.compact_log(spark, layout, options.tables)
     if options.job == "current":
         return pipeline.refresh_current(spark, layout, options.tables)
     if options.job == "calendar":

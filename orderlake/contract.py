@@ -95,6 +95,9 @@ class Layout:
     def log(self, table: str) -> str:
         return f"{self.root}/cdc/{table}"
 
+    def log_base(self, table: str) -> str:
+        return f"{self.root}/cdc_base/{table}"
+
     def current(self, table: str) -> str:
         return f"{self.root}/silver/current/{table}"
 

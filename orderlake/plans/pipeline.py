@@ -34,6 +34,7 @@ from ..operators import net_rows
 from ..session import durable
 from ..sources import (
     BUCKET,
+    base_date,
     is_bucketed,
     logged_dates,
     names,
@@ -42,6 +43,7 @@ from ..sources import (
     place,
     pointer,
     read_buckets,
+    read_history,
     read_log,
     read_snapshot,
     read_table,
@@ -51,6 +53,7 @@ from ..sources import (
     snapshot_dates,
     table_exists,
     with_bucket,
+    write_base,
     write_buckets,
     write_log,
     write_table,
@@ -59,7 +62,7 @@ from ..streaming.late_orders import refresh_daily_value
 from . import calendar as cal
 from . import commerce, customers
 from .change_capture import capture_changes
-from .current_state import collapse, collapse_onto
+from .current_state import as_inserts, collapse, collapse_onto
 from .revenue import known_customers, line_item_facts, order_facts, regular
 
 LINES, ORDERS = "order_line_items", "orders"
@@ -106,6 +109,19 @@ def refresh_current(
     return dict(zip(chosen, _side_by_side(lambda t: _refresh_table(spark, layout, LOGGED[t], after), chosen)))
 
 
+def compact_log(spark: SparkSession, layout: Layout, tables=tuple(LOGGED)) -> dict[str, int]:
+    """Sum up all finished batches of each log in a base, so that a whole collapse reads it and later batches. Returns row counts."""
+
+    def compact(table: str) -> int:
+        last = logged_dates(spark, layout, table)[-1]
+        if base_date(spark, layout, table) == last:
+            return read_history(spark, layout, table).count()
+        return write_base(as_inserts(read_history(spark, layout, table), LOGGED[table]), layout, table, last)
+
+    chosen = [t for t in tables if t in LOGGED]
+    return dict(zip(chosen, _side_by_side(compact, chosen)))
+
+
 def _side_by_side(job: Callable, items: Iterable, at_once: int = 4) -> list:
     """Results of ``job`` for each item; submitted together, so that small jobs do not leave executors idle."""
     with ThreadPoolExecutor(max_workers=at_once) as pool:
@@ -116,7 +132,7 @@ def _refresh_table(spark: SparkSession, layout: Layout, contract: TableContract,
     location, together = layout.current(contract.name), list(contract.together)
     if not is_bucketed(spark, location):
         after = None
-    log = read_log(spark, layout, contract.name, after=after)
+    log = read_history(spark, layout, contract.name) if after is None else read_log(spark, layout, contract.name, after=after)
     size = log.count()  # from the files' footers
     if after is not None and not size:
         return None

@@ -1,0 +1,80 @@
+"""Bases of the change log: the same tables from less to read."""
+
+from pathlib import Path
+
+import pytest
+from helpers import rows
+from test_pipeline import land
+
+from orderlake.contract import LOGGED, Layout
+from orderlake.plans import pipeline
+from orderlake.plans.current_state import collapse
+from orderlake.sources import base_date, read_history, read_log, read_table
+
+DATES = ("2023-05-01", "2023-05-02", "2023-05-03")
+
+
+@pytest.fixture
+def layout(spark, tmp_path):
+    """Inserts, corrections, deletions and an order that comes back."""
+    layout = Layout(str(tmp_path / "lake"))
+    land(spark, layout, DATES[0], keep=lambda i: i < 50)
+    land(spark, layout, DATES[1], keep=lambda i: i not in (3, 20), price=lambda i: 10.0 + i + (i == 30))
+    land(spark, layout, DATES[2], keep=lambda i: i != 20)
+    pipeline.log_pair(spark, layout, DATES[0])
+    pipeline.log_pair(spark, layout, DATES[1])
+    return layout
+
+
+def from_batches(spark, layout):
+    return {t: rows(collapse(read_log(spark, layout, t), c)) for t, c in LOGGED.items()}
+
+
+def from_base(spark, layout):
+    return {t: rows(collapse(read_history(spark, layout, t), c)) for t, c in LOGGED.items()}
+
+
+def test_a_compacted_log_collapses_to_the_same_tables(spark, layout):
+    expected = from_batches(spark, layout)
+    assert base_date(spark, layout, "order_items") is None and from_base(spark, layout) == expected
+    counts = pipeline.compact_log(spark, layout)
+    assert counts == {t: len(r) for t, r in expected.items()} == {"order_items": 116, "order_item_options": 232}
+    assert {base_date(spark, layout, t) for t in LOGGED} == {DATES[1]}
+    assert from_base(spark, layout) == expected == from_batches(spark, layout)
+    assert pipeline.compact_log(spark, layout) == counts  # nothing new
+    # a batch after the base, and a second base on the first
+    pipeline.log_pending(spark, layout)
+    assert from_base(spark, layout) == from_batches(spark, layout)
+    sizes = {t: read_history(spark, layout, t).count() for t in LOGGED}
+    assert all(sizes[t] < read_log(spark, layout, t).count() for t in LOGGED)
+    pipeline.compact_log(spark, layout)
+    assert [p.name for p in Path(layout.log_base("order_items")).iterdir()] == [f"through={DATES[2]}"]
+    assert from_base(spark, layout) == from_batches(spark, layout)
+    pipeline.refresh_current(spark, layout)
+    assert {t: rows(read_table(spark, layout.current(t))) for t in LOGGED} == from_batches(spark, layout)
+
+
+@pytest.mark.parametrize("left", ["", "_temporary/0"])
+def test_a_compaction_that_broke_off_changes_nothing(spark, layout, left):
+    expected = from_batches(spark, layout)
+    for table in LOGGED:
+        Path(layout.log_base(table), f"through={DATES[1]}", left).mkdir(parents=True)
+    assert base_date(spark, layout, "order_items") is None and from_base(spark, layout) == expected
+    pipeline.compact_log(spark, layout)
+    assert base_date(spark, layout, "order_items") == DATES[1] and from_base(spark, layout) == expected
+
+
+def test_a_batch_that_is_logged_again_drops_the_bases_with_it(spark, layout):
+    pipeline.compact_log(spark, layout)
+    pipeline.log_pair(spark, layout, DATES[1], DATES[0])
+    assert base_date(spark, layout, "order_items") is None
+    pipeline.compact_log(spark, layout)
+    pipeline.log_pending(spark, layout)
+    assert base_date(spark, layout, "order_items") == DATES[1]  # only a later batch came
+    assert from_base(spark, layout) == from_batches(spark, layout)
+
+
+def test_compaction_by_command(spark, layout):
+    from orderlake.__main__ import arguments, run
+
+    assert run(spark, arguments([layout.root, "--job", "compact"])) == {"order_items": 116, "order_item_options": 232}
