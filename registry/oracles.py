@@ -338,6 +338,14 @@ ORACLES["report_discount_long"] = f"""WITH {DISCOUNTS}
 SELECT segment, 'Gross' AS measure, {money("total_gross_revenue")} AS amount FROM discounts
 UNION ALL SELECT segment, 'Net', {money("total_net_revenue")} FROM discounts"""
 
+# --- the same results in two steps ---------------------------------------------------
+for name, whole in {
+    "collapse_compacted": "collapse_keyed", "collapse_compacted_multiset": "collapse_multiset",
+    "line_item_facts_incremental": "line_item_facts", "order_facts_incremental": "order_facts",
+    "sales_daily_incremental": "sales_daily", "clv_trends_incremental": "clv_trends",
+}.items():
+    ORACLES[name] = ORACLES[whole]
+
 # --- whole pipeline ----------------------------------------------------------------
 IN_YEAR = "order_date BETWEEN CAST(d - INTERVAL 12 MONTH AS DATE) AND d"
 ORACLES["pipeline_marts"] = f"""WITH {FACTS},

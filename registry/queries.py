@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, timedelta
 from functools import reduce
 
@@ -19,10 +20,12 @@ from orderlake.functions import row_fingerprint, row_fingerprint_exact, without_
 from orderlake.plans import calendar as cal
 from orderlake.plans import commerce, customers, pipeline, reports
 from orderlake.plans.change_capture import capture_changes, op_counts, repeated_keys
-from orderlake.plans.current_state import collapse, collapse_onto
+from orderlake.plans.current_state import as_inserts, collapse, collapse_onto
 from orderlake.plans.revenue import regular
 from orderlake.session import apply_settings, shared_directory
-from orderlake.sources import pending_pairs, read_log, read_snapshot, read_table, snapshot_dates, write_log
+from orderlake.sources import (
+    pending_pairs, read_history, read_log, read_snapshot, read_table, snapshot_dates, write_base, write_log,
+)
 from orderlake.streaming import adapt_change_feed, refresh_daily_value
 
 from . import star_schema as star
@@ -244,6 +247,27 @@ def _adapted_feed(spark, sf_dir):
     return collapse(adapt_change_feed(feed), TableContract("feed", ("order_id",)))
 
 
+def _compacted(spark, sf_dir, contract):
+    """The last state from a base that sums up the first two batches, and the batch after it."""
+    layout = scratch(spark, "compacted")
+    days = star.SNAPSHOT_DAYS
+    for now, before in ((0, None), (1, 0), (2, 1)):
+        write_log(changes(spark, sf_dir, contract, now, before), layout, contract.name, days[now])
+        if now == 1:
+            write_base(as_inserts(read_history(spark, layout, contract.name), contract), layout, contract.name, days[now])
+    return collapse(read_history(spark, layout, contract.name), contract)
+
+
+@query
+def collapse_compacted(spark, sf_dir):
+    return rounded(_compacted(spark, sf_dir, KEYED))
+
+
+@query
+def collapse_compacted_multiset(spark, sf_dir):
+    return _compacted(spark, sf_dir, MULTISET)
+
+
 # --- calendar ----------------------------------------------------------------
 @query
 def date_bounds(spark, sf_dir):
@@ -278,6 +302,72 @@ def order_facts(spark, sf_dir):
     return rounded(facts.withColumn("order_ts", text))
 
 
+def _two_snapshots(spark, sf_dir):
+    """A lake with an earlier snapshot, and a function that lands the tables as they are.
+
+    In the earlier one the last two years are missing, every fortieth order costs more, and some orders stand
+    that are gone later: inserts, updates and deletes for the batch.
+    """
+    layout = replace(scratch(spark, "batch"), bucket_rows=20_000)
+    items, options = star.order_items(spark, sf_dir), star.order_item_options(spark, sf_dir)
+    number = F.col("order_id").cast("bigint")
+    early = items.filter(F.col("creation_time_utc") < "2000-01-01")
+    dearer = F.when(number % 40 == 0, F.col("item_price") + 1).otherwise(F.col("item_price"))
+    gone = early.filter(number % 50 == 0).withColumn("order_id", F.concat("order_id", F.lit("x")))
+
+    def land(day, rows):
+        rows.write.parquet(layout.snapshot(day, "order_items"))
+        kept = options.join(rows.select("order_id", "lineitem_id"), ["order_id", "lineitem_id"], "left_semi")
+        kept.write.parquet(layout.snapshot(day, "order_item_options"))
+        star.holidays(spark, sf_dir).write.parquet(layout.snapshot(day, "date_dim"))
+
+    land("2001-01-01", early.withColumn("item_price", dearer).unionByName(gone))
+    return layout, lambda: land("2001-02-01", items)
+
+
+def _facts_in_two_steps(spark, sf_dir, name, threshold):
+    layout, land_last = _two_snapshots(spark, sf_dir)
+    pipeline.log_pending(spark, layout)
+    pipeline.refresh_current(spark, layout)
+    pipeline.refresh_facts(spark, layout, threshold)
+    land_last()
+    pipeline.log_pending(spark, layout)
+    pipeline.refresh_current(spark, layout, after="2001-01-01")
+    pipeline.update_facts(spark, layout, "2001-01-01", threshold)
+    return read_table(spark, layout.fact(name))
+
+
+@query
+def line_item_facts_incremental(spark, sf_dir):
+    return rounded(_facts_in_two_steps(spark, sf_dir, "order_line_items", star.LINE_OUTLIER))
+
+
+@query
+def order_facts_incremental(spark, sf_dir):
+    facts = _facts_in_two_steps(spark, sf_dir, "orders", star.ORDER_OUTLIER)
+    return rounded(facts.withColumn("order_ts", F.date_format("order_ts", "yyyy-MM-dd HH:mm:ss")))
+
+
+def _mart_in_two_runs(spark, sf_dir, name, threshold):
+    layout, land_last = _two_snapshots(spark, sf_dir)
+    pipeline.run_pipeline(spark, layout, outlier_threshold=threshold)
+    land_last()
+    pipeline.run_pipeline(spark, layout, outlier_threshold=threshold)
+    return read_table(spark, layout.mart(name))
+
+
+@query
+def sales_daily_incremental(spark, sf_dir):
+    return rounded(_mart_in_two_runs(spark, sf_dir, "sales_daily", star.LINE_OUTLIER))
+
+
+@query
+def clv_trends_incremental(spark, sf_dir):
+    trends = _mart_in_two_runs(spark, sf_dir, "clv_trends", star.ORDER_OUTLIER)
+    n, mean = F.col("active_customers"), F.col("avg_cumulative_clv")
+    return rounded(trends.withColumn("avg_cumulative_clv", mean * n)).withColumn("avg_cumulative_clv", mean / n)
+
+
 # --- customers ---------------------------------------------------------------
 def _purchase_days(spark, sf_dir):
     return star.purchases(spark, sf_dir).agg(F.min("order_date"), F.max("order_date")).first()
