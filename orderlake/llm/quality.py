@@ -1,39 +1,39 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions alone.
 
 Every row gets base counts. The method adds further rules. How long each takes and how much
-it rejects is estimated on a sample; the rules then stand in one CASE in order of rejections per
+it rejects is measured on a sample; the rules then stand in one CASE in order of rejections per
 cost, so that a row pays for rules only up to the first that rejects it. The order never changes
 a verdict: a row is kept if no rule rejects it.
 
-Defined results: a null or empty text has no words and fails; other columns are
+Defined results: a null or empty text has no words and fails; a very long one is judged whole, like any other; other columns are
 carried along untouched, nulls included; each of several equal rows is judged alike; an empty table
 gives an empty result.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROW, word_list
+from .common import ROW, durable, word_list
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Rows on which cost and selectivity are estimated.
-SAMPLE_ROWS = 2_000
+#: Rows on which cost and selectivity are measured, and how often each is judged for its time to show.
+SAMPLE_ROWS, REPEATED = 2_000, 5
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` judges a row by its text and counts; ``cost`` is the work it does on one row."""
+    """``fails`` judges a row by its text and counts."""
 
     name: str
     fails: Column
-    cost: Column
 
 
 def _occurrences(text: Column, characters: str) -> Column:
@@ -41,19 +41,18 @@ def _occurrences(text: Column, characters: str) -> Column:
 
 
 def rules(text: Column) -> list[Rule]:
-    """Rules beyond the base ones. Costs count characters passed over, by how slow each pass is."""
-    size = F.length(text).cast("double")
+    """Rules beyond the base ones."""
     letters, capitals = F.regexp_count(text, F.lit(r"\p{L}")), F.regexp_count(text, F.lit(r"\p{Lu}"))
     lines = F.size(F.split(text, "\n", -1))
     plain_words = F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]*\p{L}[^\x20\x09-\x0D]*"))
     words = F.col("n_words")
     return [
-        Rule("symbols", F.col("n_symbols") * 10 > words, F.lit(1.0)),
-        Rule("word length", (F.col("word_chars") < words * 2) | (F.col("word_chars") > words * 20), F.lit(1.0)),
-        Rule("exclamations", _occurrences(text, "!") * 2 > words, size),
-        Rule("repeated lines", F.col("n_dup_lines") * 2 > lines, size),
-        Rule("words without letters", plain_words * 2 < words, size * 6),
-        Rule("capitals", (capitals * 10 > letters * 7), size * 10),
+        Rule("symbols", F.col("n_symbols") * 10 > words),
+        Rule("word length", (F.col("word_chars") < words * 2) | (F.col("word_chars") > words * 20)),
+        Rule("exclamations", _occurrences(text, "!") * 2 > words),
+        Rule("repeated lines", F.col("n_dup_lines") * 2 > lines),
+        Rule("words without letters", plain_words * 2 < words),
+        Rule("capitals", capitals * 10 > letters * 7),
     ]
 
 
@@ -107,24 +106,29 @@ def with_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("base_failed", failed)
 
 
+def _seconds(sample: DataFrame, fails: Column) -> float:
+    """How long judging the sample REPEATED times takes, after a first time that also compiles."""
+    for times in (1, REPEATED):
+        often = sample.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.lit(times)))).agg(F.count_if(fails))
+        began = time.perf_counter()
+        often.collect()
+    return time.perf_counter() - began
+
+
 def cascade_order(docs: DataFrame, text: str = "text", sample_rows: int = SAMPLE_ROWS, seed: int = 7) -> list[Rule]:
-    """Rules by rejection per cost on a sample of about ``sample_rows`` rows, best first."""
+    """Rules by rejection per cost on a sample of about ``sample_rows`` rows, best first.
+
+    The sample holds rows that the base rules leave. A cost is the time that a rule takes on it beyond that of a rule without work.
+    """
     known = rules(F.col("__text"))
     total = docs.count()
     if not total:
         return known
-    sample = with_counts(docs.select(F.col(text).alias("text")).sample(min(1.0, sample_rows / total), seed))
-    reached = ~F.col("base_failed")  # conditions, not a filter: the optimizer would copy the counts into it
-    measures = [
-        measure
-        for i, rule in enumerate(known)
-        for measure in (
-            F.avg(F.when(reached, F.coalesce(rule.fails, F.lit(False)).cast("double"))).alias(f"r{i}"),
-            F.avg(F.when(reached, rule.cost)).alias(f"c{i}"),
-        )
-    ]
-    seen = sample.agg(*measures).first()
-    worth = {rule.name: (seen[f"r{i}"] or 0.0) / max(seen[f"c{i}"] or 0.0, 1.0) for i, rule in enumerate(known)}
+    picked = docs.select(F.col(text).alias("text")).sample(min(1.0, sample_rows / total), seed)
+    sample = durable(with_counts(picked).drop(ROW)).filter(~F.col("base_failed"))
+    rejected = sample.agg(*(F.avg(F.coalesce(rule.fails, F.lit(False)).cast("double")).alias(f"r{i}") for i, rule in enumerate(known))).first()
+    idle = _seconds(sample, F.lit(False))
+    worth = {rule.name: (rejected[f"r{i}"] or 0.0) / max(_seconds(sample, rule.fails) - idle, 1e-3) for i, rule in enumerate(known)}
     return sorted(known, key=lambda rule: -worth[rule.name])
 
 
