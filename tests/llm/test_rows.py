@@ -18,7 +18,7 @@ def listed(df):
 
 def from_sql(name, sf_dir=SF_DIR):
     connection = duckdb.connect()
-    for table in ("documents", "labels"):
+    for table in ("documents", "labels", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     cursor = connection.execute(ORACLES[name])
     return [d[0] for d in cursor.description], sorted(cursor.fetchall(), key=repr)
