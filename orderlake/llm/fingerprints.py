@@ -2,8 +2,9 @@
 
 A rolling hash over the last WINDOW bytes ends a chunk wherever its low ``level`` bits are zero, so borders
 depend on what stands around them and not on what stands before. A chunk's letter comes from the sum of the rolling hashes
-in it. ``level`` is the least at which a text has at most CHUNKS chunks, so no text is cut off, however long; the fingerprint
-holds the letters at that level and at the next one, whose chunks are twice as long: ``level:letters:letters``.
+in it. ``level`` follows from the length, so that CHUNKS/2 to CHUNKS chunks are expected; all of them count, except that a chunk is listed
+REPEATS times at most, as a line or table cell that comes again and again would drown the rest. The fingerprint holds the
+letters at that level and at the next one, whose chunks are twice as long: ``level:letters:letters``.
 
 Two fingerprints are compared at the levels that both have. Their likeness is 1 less their edit distance (insertions and
 deletions) over the letters of both, and 0 where they share no run of RUN letters (of half the shorter one, if that is less),
@@ -34,6 +35,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 WINDOW = 7
 CHUNKS = 64
+REPEATS = 2
 RUN = 7
 
 _LETTERS = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", np.uint8)
@@ -62,34 +64,24 @@ def rolling(data: bytes, before: bytes = b"") -> np.ndarray:
     return out
 
 
-def _ends(hashes: np.ndarray, among: np.ndarray | None, level: int) -> np.ndarray:
-    """Places (of ``among``) whose low ``level`` bits are zero."""
-    mask = np.uint32((1 << level) - 1)
-    return np.flatnonzero((hashes & mask) == 0) if among is None else among[(hashes[among] & mask) == 0]
-
-
 def _signature(hashes: np.ndarray, ends: np.ndarray) -> str:
     if not len(hashes):
         return ""
     starts = np.concatenate(([0], ends + 1))
     sums = np.add.reduceat(hashes, starts[starts < len(hashes)], dtype=np.uint64)
-    return _LETTERS[((sums * _FOLD) >> np.uint64(58)).astype(np.intp)].tobytes().decode()
+    order = np.argsort(sums, kind="stable")
+    equal = sums[order]
+    # among equal chunks, in order of the text, those that have REPEATS before them go
+    again = np.zeros(len(sums), bool)
+    again[order[REPEATS:]] = equal[REPEATS:] == equal[:-REPEATS]
+    return _LETTERS[((sums[~again] * _FOLD) >> np.uint64(58)).astype(np.intp)].tobytes().decode()
 
 
 def of_hashes(hashes: np.ndarray) -> str:
     """Fingerprint of a text from the rolling hash of its bytes."""
-    level = max(0, (len(hashes) // CHUNKS).bit_length() - 2)
-    ends = _ends(hashes, None, level)
-    while level and len(ends) < CHUNKS:
-        level -= 1
-        ends = _ends(hashes, None, level)
-    while len(ends) >= CHUNKS and level < 32:
-        level += 1
-        ends = _ends(hashes, ends, level)
-    while len(ends) >= CHUNKS:  # a text in which one window stands so often: every second, then every fourth end
-        level += 1
-        ends = ends[1::2]
-    longer = _ends(hashes, ends, level + 1) if level < 32 else ends[1::2]
+    level = (len(hashes) // CHUNKS).bit_length()
+    ends = np.flatnonzero((hashes & np.uint32((1 << level) - 1)) == 0)
+    longer = ends[(hashes[ends] & np.uint32((2 << level) - 1)) == 0]
     return f"{level}:{_signature(hashes, ends)}:{_signature(hashes, longer)}"
 
 
