@@ -1,6 +1,7 @@
 """Packing, training shards, page text, the pipeline."""
 
 import itertools
+import time
 import zlib
 from collections import Counter
 
@@ -151,6 +152,93 @@ def test_runs_are_found_between_any_two_pages_of_a_host_of_any_size(spark, sizes
     assert found == [(i, f"Thank you.\n{own[i]}") for i in range(24)]
 
 
+def test_names_inside_an_article():
+    def zone(element):
+        return [z for z, _ in html.blocks(f"<article><p>First</p>{element}</article>")][1:]
+
+    for side in ('<div class="comment-list">x</div>', '<p class="ad-300x250 left">x</p>', '<div id="related-posts share">x</div>', '<ul role="menu"><li>x</ul>', "<p hidden>x</p>"):
+        assert zone(side) == ["side"], side
+    for doubt in ('<div class="article-header"><h2>x</h2></div>', '<p class="notice">x</p>', '<div class="social-history">x</div>', '<section id="related-work">x</section>'):
+        assert zone(doubt) == ["doubt"], doubt
+    for none in ('<p class="address">x</p>', '<p data-id="share" title="class=ad">x</p>', "<header><h2>x</h2></header>", '<p class="lead">x</p>'):
+        assert zone(none) == ["main"], none
+    assert html.blocks('<div class="article-header">x</div>') == [("side", "x")]
+
+
+@pytest.mark.parametrize("group", [400, 1])
+def test_runs_decide_what_is_in_doubt(spark, group):
+    pages = [
+        (i, f"http://d.example/{i}", f"<article><p class=notice>{SHARED}</p><p class=notice>{prose(300 + i, 9)}</p><p>{SHARED}</p></article><p>{prose(310 + i, 9)}</p>")
+        for i in range(3)
+    ]
+    found = html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), group).collect()
+    assert sorted((r.page_id, r.text, r.n_run_tokens) for r in found) == [(i, f"{prose(300 + i, 9)}\n{SHARED}", len(SHARED.split())) for i in range(3)]
+
+
+@pytest.mark.parametrize("group", [400, 1])
+def test_a_shared_passage_between_unique_ones_stays(spark, group):
+    own = [prose(320 + i, 12) for i in range(8)]
+    frame, end = prose(340, 20), prose(341, 15)
+    pages = [(i, f"http://p.example/{i}", f"<p>{frame}</p><p>{own[i]}</p><p>{SHARED}</p><p>{own[i + 4]}</p><p>{end}</p>") for i in range(3)]
+    pages += [(7, "http://p.example/7", f"<div>{frame}</div><p>{SHARED}</p>")]  # nothing of its own
+    found = html.main_text(spark.createDataFrame(pages, "page_id long, url string, html string"), group).collect()
+    expected = [(i, f"{own[i]}\n{SHARED}\n{own[i + 4]}", 35) for i in range(3)] + [(7, f"{frame}\n{SHARED}", 0)]
+    assert sorted((r.page_id, r.text, r.n_run_tokens) for r in found) == expected
+
+
+@pytest.mark.parametrize("group", [400, 1])
+def test_pages_equal_brute_force(spark, group):
+    """Any two pages of a host are compared word by word; few words, so runs overlap blocks and pages."""
+    rng = np.random.default_rng(11)
+    kinds = ["p", "p", "p", "footer", 'p class="notice"', "article"]
+
+    def page():
+        return "".join(f"<{k}>{' '.join(map(str, rng.integers(0, 2, rng.integers(1, 14))))}</{k.split()[0]}>" for k in rng.choice(kinds, rng.integers(1, 7)))
+
+    rows = [(i, f"http://b{i % 4}.example/{i}", page()) for i in range(48)]
+    cut = {i: html.blocks(h) for i, _, h in rows}
+    expected = []
+    for i, _, _ in rows:
+        words = {j: [(b, w) if z == "main" else w for b, (z, t) in enumerate(cut[j]) for w in (t.split() if z != "main" else [None])] for j in cut if j % 4 == i % 4}
+        others = {
+            tuple(w[a : a + html.RUN]) for j, w in words.items() if [t for _, t in cut[j]] != [t for _, t in cut[i]]
+            for a in range(len(w) - html.RUN + 1) if not any(isinstance(x, tuple) for x in w[a : a + html.RUN])
+        }
+        mine, covered = words[i], [False] * len(words[i])
+        for a in range(len(mine) - html.RUN + 1):
+            if tuple(mine[a : a + html.RUN]) in others:
+                covered[a : a + html.RUN] = [True] * html.RUN
+        at, shares, counts = 0, [], []
+        for z, t in cut[i]:
+            size = 1 if z == "main" else len(t.split())
+            counts.append(sum(covered[at : at + size]))
+            shares.append(counts[-1] / size)
+            at += size
+        stay = html.staying([z for z, _ in cut[i]], [t for _, t in cut[i]], shares)
+        expected.append((i, "\n".join(t for (_, t), s in zip(cut[i], stay) if s), sum(c for c, s in zip(counts, stay) if not s)))
+    assert sum(e[2] for e in expected) > 50
+    found = html.main_text(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5), group).collect()
+    assert sorted((r.page_id, r.text, r.n_run_tokens) for r in found) == expected
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<a " * 350_000, '<a b="' * 170_000, "<a b='>" * 150_000 + '"', "<div>" * 100_000 + "</b>" * 120_000, "<script" * 140_000, "<script>" + "</script " * 110_000,
+     "<" * 1_000_000, "<a " + "= " * 500_000, '<p class="' * 100_000, "<!--" * 250_000, "<p><b>" * 150_000, "<span class=ad>x" * 60_000, "word " * 200_000],
+    ids=range(13),
+)
+def test_long_and_broken_pages_take_time_in_proportion(page):
+    before = time.process_time()
+    html.blocks(page)
+    assert time.process_time() - before < 5
+
+
+def test_broken_tags():
+    assert html.blocks("<p>a < b <3</p><p title=don't>c</p>") == [("plain", "a < b <3"), ("plain", "c")]
+    assert html.blocks('<p>x</p><p class="lead>y</p><p>z</p>') == [("plain", "x"), ("plain", "y"), ("plain", "z")]
+    assert html.blocks("<p>x</p><p>y<p class=") == [("plain", "x"), ("plain", "y<p class=")]
+
+
 def test_shared_tokens_equal_brute_force():
     rng = np.random.default_rng(5)
     for _ in range(20):
