@@ -10,9 +10,10 @@ never stored in between. Both passes must see the same partitions: ``docs`` is a
 partition that changed between the passes fails the job. A file is written aside and moved into place when it is
 whole, so a lost or repeated task leaves no part of one.
 
-Defined results: a null or empty text is one sequence that holds the end token alone; each of several
-equal rows has its own sequences; a null doc_id is written like any other; an empty table gives no shard and an
-empty manifest.
+Defined results: a null or empty text is one sequence that holds the end token alone; a text of any length is
+encoded whole and gives as many sequences as its ids fill; each of several equal rows has its own sequences (no two
+numbers and so no two slots tie); a null doc_id is written like any other; other columns are not read; an empty table gives no
+shard and an empty manifest.
 """
 
 from __future__ import annotations
@@ -39,12 +40,25 @@ ROUNDS = 6
 #: A record: the number of ids, then the ids padded with the end token.
 RECORD = np.dtype([("n", "<u4"), ("ids", "<u2", SEQUENCE)])
 
+#: Spelling of the end token for the library, which wants one to hand over ids as a buffer; in a text it is text like any other.
+UNUSED = "\U0010ffff"
+
 MANIFEST = "slot long, shard long, record long, doc_id string, piece int, n_tokens int, crc32 long"
 
 
+def address(root: str) -> str:
+    """``root`` as pyarrow spells it: Hadoop may say ``file:/a`` for a local folder, and ``s3a`` or ``s3n`` for ``s3``."""
+    scheme, colon, rest = root.partition(":")
+    if not colon:
+        return root
+    if scheme == "file" and not rest.startswith("//"):
+        rest = f"//{rest}"
+    return f"{'s3' if scheme in ('s3a', 's3n') else scheme}:{rest}"
+
+
 def opened(root: str) -> tuple[fs.FileSystem, str]:
-    """The file system of ``root`` and the folder in it; ``file:/a`` is how Hadoop may spell a local address."""
-    return fs.FileSystem.from_uri(root.replace("file:/", "file:///", 1) if root.startswith("file:/") and not root.startswith("file://") else root)
+    """The file system of ``root`` and the folder in it."""
+    return fs.FileSystem.from_uri(address(root))
 
 
 def encoder(ranks_path: str, pattern: str):
@@ -55,12 +69,15 @@ def encoder(ranks_path: str, pattern: str):
     if ranks_path not in shared:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        shared[ranks_path] = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), len(ranks)
+        shared[ranks_path] = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={UNUSED: len(ranks)}), len(ranks)
     return shared[ranks_path]
 
 
 def ids_of(text: str | None, encoding, end: int) -> np.ndarray:
-    return np.append(np.array(encoding.encode_ordinary(text or ""), np.uint16), np.uint16(end))
+    found = encoding.encode_to_numpy(text or "", disallowed_special=())
+    out = np.empty(len(found) + 1, np.uint16)
+    out[:-1], out[-1] = found, end
+    return out
 
 
 def permute(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
@@ -91,8 +108,8 @@ def counts(docs: DataFrame, ranks_path: str, pattern: str) -> dict[int, int]:
     """Sequences of each partition of ``docs``: one number for each partition comes to the driver."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding, end = encoder(ranks_path, pattern)
-        total = sum(_sequences(len(ids_of(t, encoding, end))) for frame in frames for t in frame["text"])
+        encoding, _ = encoder(ranks_path, pattern)
+        total = sum(_sequences(len(encoding.encode_to_numpy(t or "", disallowed_special=())) + 1) for frame in frames for t in frame["text"])
         yield pd.DataFrame({"partition": [TaskContext.get().partitionId()], "n": [total]})
 
     return {r["partition"]: r["n"] for r in docs.select("text").mapInPandas(count, "partition int, n long").collect()}

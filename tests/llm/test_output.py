@@ -106,6 +106,50 @@ def test_shards_round_trip(spark, odd, none, tmp_path, monkeypatch):
     assert shards.write_shards(none, f"file:{tmp_path}/b", *RANKS).count() == 0
 
 
+def test_ids_equal_plain_encoding():
+    encoding, end = shards.encoder(*RANKS)
+    for text in [None, "", "I'll  go\n\n", f"a{shards.UNUSED}b {shards.UNUSED}", "<|endoftext|> x", "été \U0001F600 日本", prose(3, 2000), "a" * 5000]:
+        found = shards.ids_of(text, encoding, end)
+        assert found.dtype == np.uint16 and found.tolist() == [*encoding.encode_ordinary(text or ""), end], text
+
+
+def test_addresses():
+    spelled = {"file:/a/b": "file:///a/b", "file:///a": "file:///a", "/a": "/a", "s3a://b/x": "s3://b/x", "s3n://b/x": "s3://b/x", "hdfs://h:8020/x": "hdfs://h:8020/x"}
+    assert {root: shards.address(root) for root in spelled} == spelled
+
+
+def plain_slot(number: int, size: int, key: int) -> int:
+    """The permutation, one number at a time."""
+    half = 1
+    while 4**half < size:
+        half += 1
+    seeds = [int(x) for x in np.random.default_rng(key).integers(1, 1 << 63, shards.ROUNDS, dtype=np.uint64)]
+    while True:
+        left, right = number >> half, number % 2**half
+        for seed in seeds:
+            mixed = (right + seed) % 2**64 * 0x9E3779B97F4A7C15 % 2**64
+            mixed = (mixed ^ mixed >> 29) * 0xBF58476D1CE4E5B9 % 2**64
+            left, right = right, left ^ (mixed >> 32) % 2**half
+        number = left * 2**half + right
+        if number < size:
+            return number
+
+
+def test_training_shards_equal_plain_encoding_and_permutation(spark):
+    encoding, end = shards.encoder(*RANKS)
+    expected = []
+    for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect():
+        ids = [*encoding.encode_ordinary(row.text or ""), end]
+        for piece, start in enumerate(range(0, len(ids), shards.SEQUENCE)):
+            part = np.array(ids[start : start + shards.SEQUENCE], "<u2")
+            expected.append((row.doc_id, piece, len(part), zlib.crc32(part.tobytes())))
+    found = QUERIES["op4_training_shards"](spark, SF_DIR).collect()
+    assert len(found) == len(expected) > 200
+    assert all((r.shard, r.record) == divmod(r.slot, shards.SHARD_SLOTS) for r in found)
+    at = {r.slot: (r.doc_id, r.piece, r.n_tokens, r.crc32) for r in found}
+    assert at == {plain_slot(n, len(expected), 1): row for n, row in enumerate(expected)}
+
+
 # --- pages -------------------------------------------------------------------------
 PAGE = """<!doctype html><html><head><title>t</title><style>p{{a:b}}</style><script>var x="</p><article>";</script></head><body>
 <header class="top">Site</header><nav><ul><li><a href="/">Home</a><li>About</ul></nav><div class="ad-box ad">Buy</div>
