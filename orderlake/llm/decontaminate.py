@@ -12,7 +12,8 @@ by the block size: its terms, their latent vectors and its words.
 
 Defined results: a null or empty text is clean, and so is everything under an empty
 benchmark; benchmark rows without words are skipped; each of several equal rows is judged by
-itself; other columns pass untouched.
+itself; a text of any length is searched whole, ``CHUNK`` steps at a time; of an item's passages and a passage's windows the one
+that covers most is told, ties by cosine; other columns pass untouched.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -56,11 +58,17 @@ def answer_of(words: list[bytes]) -> list[bytes]:
     return last if 3 <= len(last) <= len(words) // 2 else words[-5:]
 
 
-def lcs(a: list[bytes], b: list[bytes]) -> int:
-    """Length of the longest common subsequence, a machine word of ``a`` at a time."""
-    where: dict[bytes, int] = {}
+def places(a: list) -> dict:
+    """The places of each word in ``a``, as bits of a number."""
+    where: dict = {}
     for i, w in enumerate(a):
         where[w] = where.get(w, 0) | (1 << i)
+    return where
+
+
+def lcs(a: list, b: list, where: dict | None = None) -> int:
+    """Length of the longest common subsequence, a machine word of ``a`` at a time; ``where``: ``places(a)``."""
+    where = places(a) if where is None else where
     full = (1 << len(a)) - 1
     row = full
     for w in b:
@@ -69,7 +77,7 @@ def lcs(a: list[bytes], b: list[bytes]) -> int:
     return len(a) - row.bit_count()
 
 
-def _contains(words: list[bytes], part: list[bytes]) -> bool:
+def _contains(words: list, part: list) -> bool:
     n = len(part)
     return any(words[i] == part[0] and words[i : i + n] == part for i in range(len(words) - n + 1))
 
@@ -148,8 +156,10 @@ class Block:
 
     def __init__(self, items: list[int], parts: list[list[bytes]], terms: dict[bytes, int], weight: np.ndarray, space: np.ndarray):
         self.items, self.parts = items, parts
-        self.answers = [answer_of(p) for p in parts]
         self.terms = terms
+        # words as their terms: every word of a passage is one
+        self.numbers = [[terms[w] for w in p] for p in parts]
+        self.answers = [[terms[w] for w in answer_of(p)] for p in parts]
         self.latent = space * weight[:, None].astype(np.float32)
         queries = np.stack([self._project(*vector(p, terms, weight), space) for p in parts])
         norm = np.linalg.norm(queries, axis=1, keepdims=True)
@@ -166,6 +176,32 @@ class Block:
     def _project(terms: list[int], weights: list[float], space: np.ndarray) -> np.ndarray:
         return np.asarray(weights, np.float32) @ space[terms] if terms else np.zeros(space.shape[1], np.float32)
 
+    @cached_property
+    def members(self) -> np.ndarray:
+        """Which terms a passage has; the last column is for words that are no term. Made where it is used, never sent."""
+        out = np.zeros((len(self.parts), len(self.terms) + 1), bool)
+        for k, numbers in enumerate(self.numbers):
+            out[k, numbers] = True
+        return out
+
+    @cached_property
+    def places(self) -> list[tuple[dict[int, int], dict[int, int]]]:
+        """Of each passage: the places of its terms, and how many they are."""
+        return [(places(numbers), Counter(numbers)) for numbers in self.numbers]
+
+    def _in_order(self, k: int, near: np.ndarray, above: float) -> float:
+        """Share of passage ``k`` that stands in ``near`` in order, or 0 where it is surely below ``PARAPHRASE`` or ``above``.
+
+        Words that the passage lacks take no part in a common subsequence, so it is no longer than the passage's own words
+        found here, nor than their places in the passage.
+        """
+        (where, times), size = self.places[k], len(self.numbers[k])
+        own = near[self.members[k][near]].tolist()
+        enough = max(PARAPHRASE, above)
+        if len(own) < enough * size or sum(map(times.__getitem__, set(own))) < enough * size:
+            return 0.0
+        return lcs(self.numbers[k], own, where) / size
+
     def find(self, texts: list[str | None]) -> list[list[tuple[int, int, float, float, bool]]]:
         """For each text (item_id, first word of the window, cosine, share of the passage found in order, answer found) of verified passages.
 
@@ -175,23 +211,24 @@ class Block:
         split = [words_of(text) for text in texts]
         room = np.array([-(-len(words) // WINDOW_STEP) + wide for words in split], np.int64)
         bases = np.cumsum(room) - room + wide
-        steps, terms = [], []
+        steps, terms, numbers = [], [], []
         for base, words in zip(bases.tolist(), split):
             found = [look(w, -1) for w in words]
             term = np.array(found, np.int64)
+            numbers.append(term)
             at = np.flatnonzero(term >= 0)
             steps.append(base + at // WINDOW_STEP)
             terms.append(term[at])
         hits = self._windows(np.concatenate(steps), np.concatenate(terms), bases) if texts else {}
         out: list[list[tuple[int, int, float, float, bool]]] = [[] for _ in texts]
         for (text, k), windows in hits.items():
-            part, words, best = self.parts[k], split[text], None
+            size, best = len(self.parts[k]), None
             for cosine, step in sorted(windows, reverse=True):
                 start = max(0, step - int(bases[text])) * WINDOW_STEP
-                near = words[max(0, start - len(part)) : start + WINDOW + len(part)]
-                share = lcs(part, near) / len(part)
+                near = numbers[text][max(0, start - size) : start + WINDOW + size]
+                share = self._in_order(k, near, best[3] if best else 0.0)
                 if share >= PARAPHRASE and (best is None or share > best[3]):
-                    answered = _contains(near, self.answers[k])
+                    answered = _contains(near.tolist(), self.answers[k])
                     if share >= SAME or answered:
                         best = (self.items[k], start, cosine, share, answered)
                         if share == 1:

@@ -1,6 +1,8 @@
 """Near copies, repeated strings, benchmark passages."""
 
 import hashlib
+import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -259,3 +261,51 @@ def test_common_subsequence():
     for _ in range(60):
         a, b = ([bytes([97 + x]) for x in rng.integers(0, 5, rng.integers(1, 80))] for _ in range(2))
         assert decontaminate.lcs(a, b) == slow(a, b)
+
+
+def test_shares_are_those_of_plain_subsequences():
+    rng = np.random.default_rng(3)
+    parts = [[b"w%d" % w for w in rng.integers(0, 30, n)] for n in rng.integers(3, 60, 12)]
+    terms = {w: t for t, w in enumerate(sorted({w for p in parts for w in p}))}
+    block = decontaminate.Block(list(range(12)), parts, terms, np.ones(len(terms)), np.eye(len(terms), dtype=np.float32))
+    told = 0
+    for k, part in enumerate(parts):
+        for _ in range(60):
+            near = [w if rng.random() < 0.7 else b"w%d" % rng.integers(0, 60) for w in part if rng.random() < 0.9]
+            numbers = np.array([terms.get(w, -1) for w in near], np.int64)
+            share = decontaminate.lcs(part, near) / len(part)
+            for above in (0.0, 0.6, 0.9):
+                found = block._in_order(k, numbers, above)
+                assert found == share or (found == 0 and (share < decontaminate.PARAPHRASE or share < above))
+                told += found > 0
+    assert told > 300
+
+
+@pytest.mark.parametrize("block", [512, 40])
+def test_leaks_of_every_kind_in_several_blocks(spark, monkeypatch, block):
+    """Whole, shifted, reworded with the answer kept, and short items; each of equal rows; nothing in clean texts."""
+    monkeypatch.setattr(decontaminate, "BLOCK", block)
+    rng = random.Random(4)
+    items = [(i, " ".join(f"q{rng.randrange(3000)}" for _ in range(18 + i % 44)) + ". The answer is " + f"a{i} b{i} c{i}") for i in range(60)]
+
+    def reworded(words, answer):
+        return [w if rng.random() < 0.7 else f"other{rng.randrange(10**6)}" for w in words[:-answer]] + words[-answer:]
+
+    docs, expected = [], {}
+    for i, text in items:
+        words = text.split()
+        kinds = [words, words[: len(words) * 9 // 10], words[len(words) // 10 :], reworded(words, 6), reworded(words, 6)]
+        doc = 10 * i
+        for part in kinds:
+            docs.append((doc, f"{prose(doc, 50 + doc % 37)} {' '.join(part)} {prose(doc + 5000, 40)}"))
+            expected[doc] = i
+            doc += 1
+        docs.append((doc, prose(doc + 9000, 150)))  # clean
+    docs += [docs[0], docs[0], (None, docs[1][1]), (9_999, None), (9_998, "")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    benchmark = spark.createDataFrame([*items, (70, None), (71, " ")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(rows, benchmark).collect()}
+    assert {d for d, _ in found} <= {*expected, None}
+    assert sum((d, i) in found for d, i in expected.items()) >= 0.95 * len(expected)
+    kept = Counter(r.doc_id for r in decontaminate.decontaminate(rows, benchmark).collect())
+    assert kept == Counter(d for d, _ in docs if d not in {x for x, _ in found})
