@@ -191,6 +191,28 @@ def test_merged_transform_is_that_of_all_strings():
     assert [k[-1] for k in (rotations(int(s))[: len(rotations(int(s))) // 8] for s in merged.rows)] == merged.before.tolist()
 
 
+@pytest.mark.parametrize("kinds", [1 << 16, 20])
+@pytest.mark.parametrize("depth", [1, 7, 20, 101])
+def test_blocks_and_intervals_are_those_of_plain_prefixes(monkeypatch, kinds, depth):
+    """Rings shorter than a round, equal strings, every remainder of a round; by fours and by twos."""
+    monkeypatch.setattr(bwt, "KINDS", kinds)
+    strings = [prose(s, 12).encode() for s in (1, 2, 1, 3)] + [b"", b"a", b"ab" * 90, b"ba" * 70, b"", prose(2, 12).encode()[5:]]
+    merged = bwt.merge_all([bwt.shard(strings[i : i + 2]) for i in range(0, len(strings), 2)], depth)
+    laid = [s + b"\0" for s in strings]
+    rotations = [((ring[i:] + ring[:i]) * (1 + depth // len(ring)))[:depth] for ring in laid for i in range(len(ring))]
+    prefixes = [rotations[row] for row in merged.rows]
+    assert prefixes == sorted(prefixes)
+    expected = np.cumsum([0] + [a != b for a, b in zip(prefixes[:-1], prefixes[1:])])
+    assert bwt.blocks(merged, depth).tolist() == expected.tolist()
+    suffixes = [s[i:] for s in laid for i in range(len(s))]
+    rows, interval = bwt.repeated(merged, depth)
+    assert sorted(rows.tolist()) == [i for i, s in enumerate(suffixes) if len(s) > depth]
+    classes = {}
+    for row, number in zip(rows.tolist(), interval.tolist()):
+        classes.setdefault(number, set()).add(suffixes[row][:depth])
+    assert all(len(c) == 1 for c in classes.values()) and len(classes) == len(set.union(*classes.values(), set()))
+
+
 # --- benchmark passages -----------------------------------------------------------------
 def test_leaks_are_found_and_clean_documents_left(spark):
     bench = [(i, prose(100 + i, 30 + i)) for i in range(12)] + [(50, None), (51, ""), (52, prose(150, 200))]
