@@ -88,6 +88,36 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(read(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+ORACLES["op5_suffix_dedup"] = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, lower(hex(encode(coalesce(text, '')))) AS bytes FROM documents
+), cut AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(bytes, '.{1,400}')) AS part, unnest(range(len(regexp_extract_all(bytes, '.{1,400}')))) AS number FROM texts
+), parts AS (
+  SELECT r, doc_id, number, part || coalesce(substr(lead(part) OVER (PARTITION BY r ORDER BY number), 1, 198), '') AS part FROM cut
+), strings AS (
+  SELECT r, doc_id, number * 200 + i AS start, md5_number(substr(part, 2 * i + 1, 200)) AS string
+  FROM (SELECT *, unnest(range(least(200, len(part) // 2 - 99))) AS i FROM parts)
+), repeats AS (
+  SELECT r, start FROM strings QUALIFY row_number() OVER (PARTITION BY string ORDER BY doc_id, start) > 1
+), runs AS (
+  SELECT r, run, min(start) AS low, max(start) + 100 AS high
+  FROM (SELECT r, start, sum(fresh) OVER (PARTITION BY r ORDER BY start) AS run
+        FROM (SELECT r, start, CASE WHEN start - lag(start) OVER (PARTITION BY r ORDER BY start) <= 100 THEN 0 ELSE 1 END AS fresh FROM repeats))
+  GROUP BY r, run
+), removed AS (
+  SELECT r, sum(high - low) AS n_removed, count(*) AS n_spans FROM runs GROUP BY r
+), gaps AS (
+  SELECT r, low AS until, coalesce(lag(high) OVER (PARTITION BY r ORDER BY low), 0) AS since FROM runs
+  UNION ALL SELECT r, len(bytes) // 2, coalesce(max(high), 0) FROM texts LEFT JOIN runs USING (r) GROUP BY r, bytes
+), kept AS (
+  SELECT r, string_agg(substr(bytes, 2 * since + 1, 2 * (until - since)), '' ORDER BY since) AS kept FROM gaps JOIN texts USING (r) GROUP BY r
+)
+SELECT doc_id, (len(bytes) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(kept)) AS kept_sha256
+FROM texts JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
+
+
 @query
 def op1_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(read(spark, sf_dir, "documents", "doc_id", "text"))
