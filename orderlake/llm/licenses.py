@@ -6,7 +6,10 @@ place in the template. Votes are combined per diagonal before they are shuffled,
 left out) are merged, and a merged span is verified by the share of the template's words that its votes confirm in order.
 A phrase stands in a text exactly where one diagonal has all votes of its template.
 
-Defined results: a null or empty text has no words, no labels and score 0; equal rows get equal
+The places that a span's votes confirm are bits of as many 64-bit numbers as the longest template needs.
+
+Defined results: a null or empty text has no words, no labels and score 0; a very long text gives one vote for each of its
+runs that a template holds, combined per diagonal in the map tasks, so a phrase may stand in it any number of times; equal rows get equal
 results, rows that share a doc_id but not the text are judged apart; a null doc_id is kept; an empty table gives an
 empty result.
 """
@@ -29,7 +32,7 @@ PHRASES = (
     ("apache-2", "apache license version 2"),
     ("cc-by-nc", "cc by nc"),
 )
-# fixed values: usual notices, at most 62 words each
+# fixed values: usual notices
 NOTICES = (
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
@@ -42,17 +45,92 @@ NOTICES = (
     ("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     ("all-rights-reserved", "all rights reserved no part of this publication may be reproduced"),
 )
-TEMPLATES = tuple((i, label, tuple(text.split()), i < len(PHRASES)) for i, (label, text) in enumerate(PHRASES + NOTICES))
+# fixed values: whole licences and notices, without the lines that name a holder
+WHOLE_TEXTS = (
+    ("mit", """
+        permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation
+        files the software to deal in the software without restriction including without limitation the rights to use copy modify
+        merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is
+        furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be
+        included in all copies or substantial portions of the software the software is provided as is without warranty of any kind
+        express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and
+        noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other liability whether
+        in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other
+        dealings in the software"""),
+    ("bsd-2", """
+        redistribution and use in source and binary forms with or without modification are permitted provided that the following
+        conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the
+        following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and
+        the following disclaimer in the documentation and or other materials provided with the distribution this software is
+        provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to
+        the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright
+        holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but
+        not limited to procurement of substitute goods or services loss of use data or profits or business interruption however
+        caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising
+        in any way out of the use of this software even if advised of the possibility of such damage"""),
+    ("bsd-3", """
+        redistribution and use in source and binary forms with or without modification are permitted provided that the following
+        conditions are met 1 redistributions of source code must retain the above copyright notice this list of conditions and the
+        following disclaimer 2 redistributions in binary form must reproduce the above copyright notice this list of conditions and
+        the following disclaimer in the documentation and or other materials provided with the distribution 3 neither the name of
+        the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software
+        without specific prior written permission this software is provided by the copyright holders and contributors as is and any
+        express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a
+        particular purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect
+        incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or
+        services loss of use data or profits or business interruption however caused and on any theory of liability whether in
+        contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even
+        if advised of the possibility of such damage"""),
+    ("isc", """
+        permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided
+        that the above copyright notice and this permission notice appear in all copies the software is provided as is and the author
+        disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no
+        event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting
+        from loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in
+        connection with the use or performance of this software"""),
+    ("zlib", """
+        this software is provided as is without any express or implied warranty in no event will the authors be held liable for any
+        damages arising from the use of this software permission is granted to anyone to use this software for any purpose including
+        commercial applications and to alter it and redistribute it freely subject to the following restrictions 1 the origin of this
+        software must not be misrepresented you must not claim that you wrote the original software if you use this software in a
+        product an acknowledgment in the product documentation would be appreciated but is not required 2 altered source versions
+        must be plainly marked as such and must not be misrepresented as being the original software 3 this notice may not be removed
+        or altered from any source distribution"""),
+    ("apache-2", """
+        licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you
+        may obtain a copy of the license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in
+        writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind
+        either express or implied see the license for the specific language governing permissions and limitations under the license"""),
+    ("unlicense", """
+        this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell
+        or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial
+        and by any means"""),
+    ("mpl-2", """
+        this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed
+        with this file you can obtain one at https mozilla org mpl 2 0"""),
+)
+TEMPLATES = tuple((i, label, tuple(text.split()), i < len(PHRASES)) for i, (label, text) in enumerate(PHRASES + NOTICES + WHOLE_TEXTS))
+#: Words of a template in one number, and the columns of numbers that hold the longest one.
+BITS = 64
+PLACES = tuple(f"places{k}" for k in range(-(-max(len(words) for _, _, words, _ in TEMPLATES) // BITS)))
+
+
+def place_bits(place: int) -> list[int]:
+    """The ``GRAM`` words from ``place`` on as bits of signed 64-bit numbers, one for each of ``PLACES``."""
+    whole = ((1 << GRAM) - 1) << place
+    parts = [whole >> BITS * k & (1 << BITS) - 1 for k in range(len(PLACES))]
+    return [part - (1 << BITS) if part >> BITS - 1 else part for part in parts]
 
 
 def template_places(spark: SparkSession) -> DataFrame:
-    """One row for each run of three words of each template: a few hundred rows in all."""
+    """One row for each run of three words of each template: about a thousand rows in all."""
     rows = [
-        (number, label, place, len(words), base, *words[place : place + GRAM])
+        (number, label, place, len(words), base, *place_bits(place), *words[place : place + GRAM])
         for number, label, words, base in TEMPLATES
         for place in range(len(words) - GRAM + 1)
     ]
-    names = "template int, label string, place int, n_template int, base boolean, w0 string, w1 string, w2 string"
+    bits = ", ".join(f"{name} long" for name in PLACES)
+    names = f"template int, label string, place int, n_template int, base boolean, {bits}, w0 string, w1 string, w2 string"
     return spark.createDataFrame(rows, names).withColumn("gram", F.xxhash64("w0", "w1", "w2")).drop("w0", "w1", "w2")
 
 
@@ -71,16 +149,16 @@ def spans(docs: DataFrame) -> DataFrame:
     runs = split.select("doc_id", "digest", F.posexplode(grams).alias("at", "gram"))
     hits = runs.join(F.broadcast(template_places(docs.sparkSession)), "gram")
     votes = hits.groupBy("doc_id", "digest", "template", "label", "base", "n_template", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.bit_or(F.expr("shiftleft(1L, place)")).alias("places")
+        *(F.bit_or(name).alias(name) for name in PLACES)
     )
     line = Window.partitionBy("doc_id", "digest", "template").orderBy("diagonal")
     # a phrase is never merged: it stands on one diagonal or not at all
     apart = F.col("base") | (F.col("diagonal") - F.lag("diagonal", 1, -10_000_000).over(line) > NEAR)
     numbered = votes.withColumn("span", F.sum(apart.cast("long")).over(line))
     merged = numbered.groupBy("doc_id", "digest", "template", "label", "base", "n_template", "span").agg(
-        F.bit_or("places").alias("places"), F.min("diagonal").alias("first"), F.max("diagonal").alias("low_end")
+        *(F.bit_or(name).alias(name) for name in PLACES), F.min("diagonal").alias("first"), F.max("diagonal").alias("low_end")
     )
-    confirmed = F.expr("bit_count(places | shiftleft(places, 1) | shiftleft(places, 2))")
+    confirmed = F.expr(" + ".join(f"bit_count({name})" for name in PLACES))
     return merged.select(
         "doc_id", "digest", "template", "label", "base", "first",
         (F.col("low_end") + F.col("n_template") - 1).alias("last"), (confirmed / F.col("n_template")).alias("share"),

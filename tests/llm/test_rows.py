@@ -66,6 +66,45 @@ def test_notice_with_changed_words_is_one_verified_span(spark):
     assert found[2].labels == "" and 0 < found[2].score < 0.9
 
 
+def shares_by_hand(text):
+    """Per label the best share of a notice that the runs on neighbouring diagonals confirm, and the labels that stand."""
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    best, labels = {}, set()
+    for number, label, template, base in licenses.TEMPLATES:
+        lines = {}
+        for i in range(len(words) - 2):
+            for p in range(len(template) - 2):
+                if tuple(words[i : i + 3]) == template[p : p + 3]:
+                    lines.setdefault(i - p, set()).update((p, p + 1, p + 2))
+        span, last = set(), None
+        for line in sorted(lines):
+            span = lines[line] | (set() if base or last is None or line - last > licenses.NEAR else span)
+            last = line
+            share = len(span) / len(template)
+            best[number] = max(best.get(number, 0), share)
+            if share == 1 if base else share >= licenses.SHARE:
+                labels.add(label)
+    return max(best.values(), default=0), ",".join(sorted(labels))
+
+
+def test_whole_licences_with_changed_words_equal_a_plain_search(spark):
+    texts, expected = [], []
+    for k, (label, text) in enumerate(licenses.WHOLE_TEXTS):
+        words = text.split()
+        changed = [f"other{i}" if i % 37 == 20 else w for i, w in enumerate(words)]  # one word in 37 is another one
+        moved = words[: len(words) // 2] + ["two", "more"] + words[len(words) // 2 :]
+        texts += [" ".join([prose(k, 30), *changed, prose(k + 50, 30)]), "Copyright (c) X.\n" + " ".join(moved).upper(), " ".join(words[len(words) // 3 :])]
+        expected += [label, label, None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert max(len(text.split()) for _, text in licenses.WHOLE_TEXTS) > 3 * licenses.BITS
+    for i, (text, label) in enumerate(zip(texts, expected)):
+        share, labels = shares_by_hand(text)
+        assert found[i].score == pytest.approx(share) and found[i].labels == labels
+        assert label is None or label in labels.split(",")
+    assert not any({"bsd-2", "bsd-3"} <= set(r.labels.split(",")) for r in found.values())
+
+
 # --- edge cases, one row for each row ----------------------------------------------
 def scans():
     def toxic(docs):
