@@ -6,7 +6,7 @@ proportions. From the set of all languages the weakest is dropped as long as the
 likelihood gains by it; the text gets the language with the largest proportion in the set that is left.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter, or where nothing
-could be learned; rows with a null language or doc_id teach nothing; equal rows get equal results; among equal
+could be learned; all words of a very long text count, so it takes a row of numbers for each of them in its task; rows with a null language or doc_id teach nothing; equal rows get equal results; among equal
 proportions the first language by name wins; an empty table gives an empty result.
 """
 

@@ -7,7 +7,7 @@ exact complement is placed best fit, also in bulk. The plan has a few thousand r
 are. Pieces are numbered within their length in Spark, salted so that no length is one
 task's work, and find their range by binary search.
 
-Defined results: a null or empty text is one piece that holds the end token alone; each of several equal
+Defined results: a null or empty text is one piece that holds the end token alone; a very long one is as many full pieces as it fills and one for the rest; each of several equal
 rows is packed by itself; a null doc_id is packed like any other; an empty table gives an empty result.
 """
 

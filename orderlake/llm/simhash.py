@@ -7,7 +7,7 @@ as a table, a few bits at a time, and only where a pair still holds too many
 fingerprints for one task; the rest of each pair is walked inside a task on sorted arrays. A
 task reports a spanning forest of the links that it finds, which joins the same fingerprints as all links do.
 
-Defined results: a null or empty text has fingerprint zero, linked like any other; a null
+Defined results: a null or empty text has fingerprint zero, linked like any other; a very long text has one fingerprint of all its shingles; a null
 doc_id is never the smallest unless its whole component has none; equal rows get equal results; an empty table
 gives an empty result.
 """

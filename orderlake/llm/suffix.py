@@ -12,7 +12,7 @@ both places, so only places with an equal anchor are looked at together:
 3. An anchor with more surroundings than a bundle holds is dealt over several; the earliest
    string of each interval then meets those of the other bundles by its digest.
 
-Defined results: a null or empty text has nothing to remove; a row is
+Defined results: a null or empty text has nothing to remove; a very long one is read whole, in chunks that overlap (see ``winnow``); a row is
 its doc_id and text: equal rows are one document, different texts under one doc_id, or without one, are several and stand in
 the order of their hashes; a null doc_id stands after all others; an empty table gives an empty
 result.

@@ -4,7 +4,7 @@ Training takes a bounded sample of labelled rows in shards. Each shard makes its
 state and the states are averaged between rounds. Every coordinate has its own rate, and the L1 term leaves most weights
 at exactly zero, so the model that goes to the tasks is a sparse vector of bounded size. Scoring reads each whole text once.
 
-Defined results: a null or empty text gets the score of the bias alone; a row without doc_id or
+Defined results: a null or empty text gets the score of the bias alone; a very long one is scored by all its words, each feature once; a row without doc_id or
 label teaches nothing; several labels of one doc_id count as toxic if one of them says so; without training
 rows every score is 0.5 less a hair, so nothing is predicted toxic; an empty table gives an empty result.
 """

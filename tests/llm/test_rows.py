@@ -1,7 +1,9 @@
 """Operators that judge each document by itself: license scan, quality, toxicity, language."""
 
+import math
 import re
 import zlib
+from collections import Counter
 
 import duckdb
 import pytest
@@ -156,6 +158,53 @@ def test_held_out_toxicity(spark):
     assert ranked > 0.9 and sum(s >= 0.5 for s in good) <= 0.05 * len(good)
 
 
+def toxic_features_by_hand(text):
+    """Coordinates of words, stems, neighbours and words one apart, one string at a time."""
+    words = re.findall(rb"[a-z\x80-\xff]+", (text or "").encode().lower())
+    whole, stems = [zlib.crc32(w) for w in words], [zlib.crc32(w[: toxicity.STEM]) for w in words]
+    pairs = [(a, 0, 1) for a in whole] + [(a, 0, 4) for a in stems] + [(a, b, 2) for a, b in zip(whole, whole[1:])] + [(a, b, 3) for a, b in zip(whole, whole[2:])]
+    mixed = [(a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + kind) * 0xFF51AFD7ED558CCD % 2**64 for a, b, kind in pairs]
+    return {0} | {(x >> 32) % (toxicity.DIMENSIONS - 1) + 1 for x in mixed}
+
+
+def test_training_equals_plain_steps_on_single_coordinates(spark, documents):
+    """Every shard walks its rows one coordinate at a time from the shared state; the states are averaged."""
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    rows = toxicity.training_rows(documents, labels)
+    shard = F.pmod(F.xxhash64("__id"), F.lit(toxicity.SHARDS))
+    ordered = rows.select("text", "toxic", F.pmod(F.hash(shard), F.lit(toxicity.SHARDS)).alias("part"), shard.alias("shard"), F.xxhash64("__id", F.lit(1)).alias("turn"))
+    ordered = sorted(ordered.collect(), key=lambda r: (r.part, r.shard, r.turn))
+    parts = {r.part: [(toxic_features_by_hand(s.text), s.toxic) for s in ordered if s.part == r.part] for r in ordered}
+    assert len(ordered) >= 20 and {r.toxic for r in ordered} == {0, 1} and len(parts) > 1
+
+    def weight(z, n):
+        flat = abs(z) <= toxicity.L1
+        return 0.0 if flat else -(z - (toxicity.L1 if z > 0 else -toxicity.L1)) / ((toxicity.BETA + n**0.5) / toxicity.ALPHA + toxicity.L2)
+
+    state = {}
+    for _ in range(toxicity.ROUNDS):
+        states = []
+        for examples in parts.values():
+            own = dict(state)
+            for found, label in examples:
+                used = {c: weight(*own.get(c, (0.0, 0.0))) for c in found}
+                g = 1 / (1 + math.exp(-max(-35.0, min(35.0, sum(used.values()))))) - label
+                for c, w in used.items():
+                    z, n = own.get(c, (0.0, 0.0))
+                    own[c] = (z + g - ((n + g * g) ** 0.5 - n**0.5) / toxicity.ALPHA * w, n + g * g)
+            states.append(own)
+        state = {c: tuple(sum(s.get(c, (0.0, 0.0))[k] for s in states) / len(states) for k in (0, 1)) for s in states for c in s}
+    expected = {c: w for c, (z, n) in state.items() if (w := weight(z, n))}
+    model = toxicity.learn(rows)
+    found = {int(c): float(model[c]) for c in model.nonzero()[0]}
+    assert len(expected) > 10
+    assert all(abs(found.get(c, 0) - expected.get(c, 0)) < 1e-3 for c in found.keys() | expected.keys())
+    scores = {r.doc_id: r.score for r in toxicity.score(documents, model).collect()}
+    for r in documents.collect():
+        total = expected.get(0, 0) + sum(expected.get(c, 0) for c in toxic_features_by_hand(r.text) - {0})
+        assert scores[r.doc_id] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-2)
+
+
 # --- language ------------------------------------------------------------------------
 def test_held_out_language(spark):
     found = QUERIES["op10_language_mixture"](spark, "/root/testdata/sf0.01")
@@ -175,3 +224,55 @@ def test_mixture_takes_the_larger_part_and_no_letter_is_undetermined(spark):
     assert [found[i].lang_pred for i in range(7)] == ["de", "en", "de", "en", "und", "und", "und"]
     assert found[0].score > 0.99 and 0.6 < found[2].score < 0.95 and found[5].score == 0
     assert language.identify(docs, [], model[:, :0]).filter("lang_pred <> 'und'").count() == 0
+
+
+def spelt_by_hand(text):
+    """The buckets of the trigrams of each word."""
+    words = re.findall(rb"[a-z\x80-\xff]+", text.lower().encode().lower())
+    framed = [b" " + w + b" " for w in words]
+    return [[(int.from_bytes(w[i : i + 3], "big") * 0x9E3779B1 % 2**32) >> 16 for i in range(len(w) - 2)] for w in framed]
+
+
+def shares_of_languages_by_hand(words, langs, logs):
+    """Expectation-maximisation word by word; the weakest language goes as long as the penalised likelihood gains."""
+    likely = []
+    for buckets in words:
+        sums = {k: sum(logs[k][b] for b in buckets) for k in langs}
+        likely.append({k: max(math.exp(s - max(sums.values())), language.FLOOR) for k, s in sums.items()})
+
+    def fit(among):
+        share = dict.fromkeys(among, 1 / len(among))
+        for _ in range(language.ROUNDS):
+            totals = [sum(p[k] * share[k] for k in among) for p in likely]
+            share = {k: sum(p[k] * share[k] / t for p, t in zip(likely, totals)) / len(likely) for k in among}
+        return share, sum(math.log(sum(p[k] * share[k] for k in among)) for p in likely)
+
+    share, value = fit(langs)
+    while len(share) > 1:
+        weakest = min(share, key=lambda k: (share[k], k))
+        fewer, new = fit([k for k in langs if k in share and k != weakest])
+        if new - value + language.PENALTY * math.log(max(len(likely), 2)) <= 0:
+            break
+        share, value = fewer, new
+    return share
+
+
+def test_languages_equal_plain_expectation_maximisation(spark, documents):
+    texts = [r for r in documents.select("doc_id", "text", "lang").collect() if r.text and len(r.text) < 2500]
+    mixed = [(10_000 + i, f"{a.text} {b.text}", None) for i, (a, b) in enumerate(zip(texts[:20], texts[20:40]))]
+    table = spark.createDataFrame([tuple(r) for r in texts] + mixed, "doc_id long, text string, lang string").withColumn("held_out", F.lit(False))
+    train = [r for r in texts if r.lang is not None]
+    seen = {lang: Counter(b for r in train if r.lang == lang for word in spelt_by_hand(r.text) for b in word) for lang in sorted({r.lang for r in train})}
+    logs = {}
+    for lang, counted in seen.items():
+        total = math.log(sum(counted.values()) + language.SMOOTHING * language.BUCKETS)
+        logs[lang] = [math.log(counted[b] + language.SMOOTHING) - total for b in range(language.BUCKETS)]
+    found = {r.doc_id: r for r in language.identify(table, *language.learn(table.filter("lang IS NOT NULL"))).collect()}
+    assert len(seen) > 2 and len(found) == len(texts) + len(mixed)
+    for doc_id, text, _ in [tuple(r) for r in texts] + mixed:
+        if not language.has_letter(text):
+            assert (found[doc_id].lang_pred, found[doc_id].score) == ("und", 0)
+            continue
+        share = shares_of_languages_by_hand(spelt_by_hand(text), list(seen), logs)
+        top = max(share.values())
+        assert found[doc_id].score == pytest.approx(top, abs=1e-3) and share[found[doc_id].lang_pred] > top - 1e-3
