@@ -3,7 +3,7 @@
 from helpers import rows
 
 from orderlake.contract import ORDER_ITEM_OPTIONS, ORDER_ITEMS
-from orderlake.plans.current_state import collapse, collapse_keyed, collapse_onto
+from orderlake.plans.current_state import at_most_once, collapse, collapse_keyed, collapse_onto
 from orderlake.streaming import adapt_change_feed
 
 HEADERS = "Op string, cdc_seq string, cdc_commit_ts string, cdc_snapshot_dt string, cdc_processed_at string"
@@ -86,3 +86,18 @@ def test_feed_adapter_takes_a_stream(spark, tmp_path):
     run = stream.writeStream.trigger(availableNow=True).option("checkpointLocation", f"{tmp_path}/cp").format("parquet").start(f"{tmp_path}/log")
     run.awaitTermination(60)
     assert rows(collapse(spark.read.parquet(f"{tmp_path}/log"), ORDER_ITEMS)) == [("a", "1", 2.0)]
+
+
+def test_a_log_of_single_changes_needs_no_shuffle(spark):
+    old = keyed(spark, ("a", "1", 1.0, "I", 1), ("b", "1", 2.0, "I", 1), (None, "1", 3.0, "I", 1), ("z", "1", 3.0, "D", 1))
+    new = keyed(spark, ("a", "1", 1.5, "U", 2), ("b", "1", 2.0, "D", 2), ("d", "1", 4.0, "I", 2), (None, "1", None, "U", 2))
+    assert at_most_once(old, ORDER_ITEMS) and at_most_once(new, ORDER_ITEMS) and not at_most_once(old.unionAll(new), ORDER_ITEMS)
+    known = collapse(old, ORDER_ITEMS, once=True)
+    assert "Exchange" not in known._jdf.queryExecution().executedPlan().toString()
+    assert rows(known) == rows(collapse(old, ORDER_ITEMS))
+    assert rows(collapse_onto(known, new, ORDER_ITEMS, once=True)) == rows(collapse(old.unionAll(new), ORDER_ITEMS))
+
+    first = bag(spark, ("a", "x", "I"), ("a", "x", "I"), ("a", None, "I"))
+    assert at_most_once(first, ORDER_ITEM_OPTIONS) and rows(collapse(first, ORDER_ITEM_OPTIONS, once=True)) == rows(collapse(first, ORDER_ITEM_OPTIONS))
+    for other in ("D", None):
+        assert not at_most_once(first.unionAll(bag(spark, ("a", "x", other))), ORDER_ITEM_OPTIONS)
