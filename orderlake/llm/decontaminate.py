@@ -4,7 +4,7 @@ Benchmark texts are cut into passages, taken in blocks of a fixed size. A block'
 their document frequency over the whole corpus, and a randomised SVD of its TF-IDF matrix,
 whose products are summed over partitions, gives the latent space, with a direction for each passage. Every
 document is then read in overlapping windows, about as wide as the passage, each window is projected and compared with all passages of the block, and
-all candidates by cosine, or by how much of the passage's weight they hold, are checked word by word: a longest common subsequence that covers the
+all candidates by cosine, or by how much of the passage's weight they hold, whose own words are enough, are checked word by word: a longest common subsequence that covers the
 passage, or half of it with the passage's last sentence (the answer) intact.
 
 Documents are never joined with each other or shuffled. What is shipped to the tasks is bounded
@@ -22,6 +22,7 @@ import math
 from collections import Counter
 from collections.abc import Iterator
 from functools import cached_property
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,8 @@ WIDTHS = ((16, 2), (32, 3), (PASSAGE, WINDOW // WINDOW_STEP))
 CHUNK = 2048
 #: Passages compared in one reading of the documents. The space has a direction for each, or those beyond its rank would be lost.
 BLOCK = 512
+#: Candidates whose words are counted at once.
+SPANS = 4096
 OVERSAMPLE, POWER = 16, 2
 COSINE = 0.35
 #: A window that holds so much of a passage's weight is a candidate too, whatever else stands in it.
@@ -96,11 +99,11 @@ def document_frequencies(docs: DataFrame, terms: dict[bytes, int]) -> tuple[np.n
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen, rows = np.zeros(len(terms), np.int64), 0
-        known = terms.keys()
+        known = set(terms)
         for frame in frames:
             rows += len(frame)
             for text in frame["text"]:
-                for term in known & set(words_of(text)):
+                for term in known.intersection(words_of(text)):
                     seen[terms[term]] += 1
         yield pd.DataFrame({"term": np.append(np.flatnonzero(seen), -1), "n": np.append(seen[seen > 0], rows)})
 
@@ -160,11 +163,12 @@ class Block:
         # words as their terms: every word of a passage is one
         self.numbers = [[terms[w] for w in p] for p in parts]
         self.answers = [[terms[w] for w in answer_of(p)] for p in parts]
-        self.latent = space * weight[:, None].astype(np.float32)
+        self.latent = np.ascontiguousarray(space * weight[:, None].astype(np.float32))
         queries = np.stack([self._project(*vector(p, terms, weight), space) for p in parts])
         norm = np.linalg.norm(queries, axis=1, keepdims=True)
         self.queries = np.divide(queries, norm, out=np.zeros_like(queries), where=norm > 0).T.copy()
         sizes, low = np.array([len(p) for p in parts]), 0
+        self.sizes = sizes
         self.widths: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []  # steps of a window, its passages, their vectors and lengths
         for high, steps in WIDTHS:
             of = np.flatnonzero((sizes > low) & (sizes <= high))
@@ -177,13 +181,17 @@ class Block:
         return np.asarray(weights, np.float32) @ space[terms] if terms else np.zeros(space.shape[1], np.float32)
 
     @cached_property
-    def members(self) -> np.ndarray:
-        """Which terms a passage has; the last column is for words that are no term. Made where it is used, never sent."""
-        out = np.zeros((len(self.parts), len(self.terms) + 1), bool)
+    def times(self) -> np.ndarray:
+        """How often a passage has each term; the last column is for words that are no term. Made where it is used, never sent."""
+        out = np.zeros((len(self.parts), len(self.terms) + 1), np.uint8)
         for k, numbers in enumerate(self.numbers):
-            out[k, numbers] = True
+            np.add.at(out[k], numbers, 1)
         return out
 
+    @cached_property
+    def members(self) -> np.ndarray:
+        return self.times > 0
+
     @cached_property
     def places(self) -> list[tuple[dict[int, int], dict[int, int]]]:
         """Of each passage: the places of its terms, and how many they are."""
@@ -207,19 +215,21 @@ class Block:
 
         The texts are laid on one axis of steps, a window apart, so that a batch is a few matrix products.
         """
-        wide, look = WINDOW // WINDOW_STEP, self.terms.get
+        if not texts:
+            return []
+        wide, unknown = WINDOW // WINDOW_STEP, len(self.terms)
         split = [words_of(text) for text in texts]
-        room = np.array([-(-len(words) // WINDOW_STEP) + wide for words in split], np.int64)
+        sizes = np.fromiter(map(len, split), np.int64, len(split))
+        room = -(-sizes // WINDOW_STEP) + wide
         bases = np.cumsum(room) - room + wide
-        steps, terms, numbers = [], [], []
-        for base, words in zip(bases.tolist(), split):
-            found = [look(w, -1) for w in words]
-            term = np.array(found, np.int64)
-            numbers.append(term)
-            at = np.flatnonzero(term >= 0)
-            steps.append(base + at // WINDOW_STEP)
-            terms.append(term[at])
-        hits = self._windows(np.concatenate(steps), np.concatenate(terms), bases) if texts else {}
+        ends = np.cumsum(sizes)
+        found = map(self.terms.get, chain.from_iterable(split), repeat(unknown))
+        words = np.fromiter(found, np.min_scalar_type(unknown), ends[-1])  # the texts one after the other
+        at = np.flatnonzero(words != unknown)
+        text = np.searchsorted(ends, at, "right")
+        steps = bases[text] + (at - (ends - sizes)[text]) // WINDOW_STEP
+        hits = self._windows(steps, words[at], bases, words, ends, sizes)
+        numbers = np.split(words, ends[:-1])
         out: list[list[tuple[int, int, float, float, bool]]] = [[] for _ in texts]
         for (text, k), windows in hits.items():
             size, best = len(self.parts[k]), None
@@ -237,18 +247,57 @@ class Block:
                 out[text].append(best)
         return out
 
-    def _windows(self, step: np.ndarray, term: np.ndarray, bases: np.ndarray) -> dict[tuple[int, int], list[tuple[float, int]]]:
-        """(cosine, first step) of every window that reaches ``COSINE`` or ``HELD``, by text and passage; ``CHUNK`` steps at once."""
+    def _sums(self, own: np.ndarray, term: np.ndarray, rows: int) -> np.ndarray:
+        """The vectors of each step's terms added up, in the terms' order; ``own``: the step of each, ascending.
+
+        The first terms of all steps are added at once, then the second ones, and so on; steps with most terms stand first.
+        """
+        first = np.flatnonzero(np.diff(own, prepend=-1))
+        count = np.diff(first, append=len(own))
+        order = np.argsort(-count, kind="stable")
+        first, count = first[order], count[order]
+        total = self.latent[term[first]]
+        more = np.empty_like(total)
+        for nth in range(1, count[0]):
+            n = np.searchsorted(-count, -nth)
+            np.take(self.latent, term[first[:n] + nth], axis=0, out=more[:n], mode="clip")
+            total[:n] += more[:n]
+        out = np.zeros((rows, self.latent.shape[1]), np.float32)
+        out[own[first]] = total
+        return out
+
+    def _enough(self, k: np.ndarray, low: np.ndarray, high: np.ndarray, words: np.ndarray, before: np.ndarray) -> np.ndarray:
+        """Whether ``words[low:high]`` may hold ``PARAPHRASE`` of passage ``k``: the bounds of ``_in_order``, for ``SPANS`` candidates at once.
+
+        ``before``: where each word stood last, so that a term's places in the passage count once in a span.
+        """
+        out = np.zeros(len(k), bool)
+        flat, columns = self.times.ravel(), self.times.shape[1]
+        for i in range(0, len(k), SPANS):
+            of, start, width = k[i : i + SPANS], low[i : i + SPANS], (high - low)[i : i + SPANS]
+            cut = np.cumsum(width) - width
+            at = np.arange(width.sum()) + np.repeat(start - cut, width)
+            times = flat[words[at] + np.repeat(of * columns, width)]
+            own = np.add.reduceat(times > 0, cut, dtype=np.int32)
+            placed = np.add.reduceat(times * (before[at] < np.repeat(start, width)), cut, dtype=np.int32)
+            out[i : i + SPANS] = np.minimum(own, placed) >= PARAPHRASE * self.sizes[of]
+        return out
+
+    def _windows(
+        self, step: np.ndarray, term: np.ndarray, bases: np.ndarray, words: np.ndarray, ends: np.ndarray, lengths: np.ndarray
+    ) -> dict[tuple[int, int], list[tuple[float, int]]]:
+        """(cosine, first step) of every window that reaches ``COSINE`` or ``HELD`` and may hold enough, by text and passage; ``CHUNK`` steps at once."""
         wide = WINDOW // WINDOW_STEP
         hits: dict[tuple[int, int], list[tuple[float, int]]] = {}
+        alike = np.argsort(words, kind="stable")
+        before = np.full(len(words), -1)
+        again = np.flatnonzero(words[alike[1:]] == words[alike[:-1]])
+        before[alike[again + 1]] = alike[again]
         for base in range(0, int(step[-1]) + 1 if len(step) else 0, CHUNK):
             low, high = np.searchsorted(step, (base, base + CHUNK + wide - 1))
             if low == high:
                 continue
-            own = step[low:high] - base
-            cut = np.flatnonzero(np.diff(own, prepend=-1))
-            sums = np.zeros((CHUNK + wide - 1, self.latent.shape[1]), np.float32)
-            sums[own[cut]] = np.add.reduceat(self.latent[term[low:high]], cut, axis=0)
+            sums = self._sums(step[low:high] - base, term[low:high], CHUNK + wide - 1)
             windows, added = sums[:CHUNK].copy(), 1
             for steps, of, queries, length in self.widths:
                 for i in range(added, steps):
@@ -260,9 +309,13 @@ class Block:
                 rows, passages = np.nonzero((cosine >= COSINE * norm[live, None]) | (cosine >= HELD * length))
                 starts = live[rows] + base
                 texts = np.searchsorted(bases, starts + wide - 1, "right") - 1
-                values = cosine[rows, passages] / norm[live[rows]]
-                for text, k, value, start in zip(texts.tolist(), of[passages].tolist(), values.tolist(), starts.tolist()):
-                    hits.setdefault((text, k), []).append((value, start))
+                first = np.maximum(starts - bases[texts], 0) * WINDOW_STEP
+                k, begin = of[passages], (ends - lengths)[texts]
+                start, end = begin + np.maximum(first - self.sizes[k], 0), np.minimum(begin + first + WINDOW + self.sizes[k], ends[texts])
+                may = np.flatnonzero(self._enough(k, start, end, words, before))
+                values = cosine[rows[may], passages[may]] / norm[live[rows[may]]]
+                for text, passage, value, begun in zip(texts[may].tolist(), k[may].tolist(), values.tolist(), starts[may].tolist()):
+                    hits.setdefault((text, passage), []).append((value, begun))
         return hits
 
 

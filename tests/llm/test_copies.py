@@ -303,6 +303,35 @@ def test_shares_are_those_of_plain_subsequences():
     assert told > 300
 
 
+def test_candidates_are_counted_together_before_any_is_read(monkeypatch):
+    """Texts of the passages' own words, shuffled or with one word over and over, are no leaks: counts tell, no candidate is read in order."""
+    rng = np.random.default_rng(6)
+    common = [b"c%d" % w for w in range(12)]
+    parts = [[b"p%d_%d" % (k, i) if i % 3 else common[rng.integers(12)] for i in range(n)] for k, n in enumerate(rng.integers(9, 64, 40))]
+    terms = {w: t for t, w in enumerate(sorted({w for p in parts for w in p}))}
+    block = decontaminate.Block(list(range(40)), parts, terms, np.ones(len(terms)), np.eye(len(terms), dtype=np.float32))
+    read, in_order = [], block._in_order
+    monkeypatch.setattr(block, "_in_order", lambda k, near, above: read.append((k, near, above)) or in_order(k, near, above))
+    clean = [" ".join(rng.choice([w.decode() for w in common], 300)) for _ in range(30)] + ["c1 " * 500, "", None]
+    assert block.find(clean) == [[] for _ in clean] and not read
+    assert block.find([]) == []
+    leaks = [b" ".join(rng.permutation(common).tolist() * 3 + p + rng.permutation(common).tolist() * 3).decode() for p in parts]
+    monkeypatch.setattr(decontaminate, "SPANS", 7)
+    monkeypatch.setattr(decontaminate, "CHUNK", 16)
+    found = block.find([x for pair in zip(leaks, clean * 2) for x in pair])
+    assert all(k in [f[0] for f in here] for k, here in enumerate(found[::2])) and not any(found[1::2])
+    # every candidate whose plain count suffices was let through
+    words = np.array([terms.get(w, len(terms)) for w in decontaminate.words_of(leaks[5])], np.int64)
+    last = {}
+    before = np.array([(last.get(w, -1), last.update({w: i}))[0] for i, w in enumerate(words.tolist())])
+    k, low = (x.ravel() for x in np.meshgrid(np.arange(40), np.arange(0, len(words), 5)))
+    high = np.minimum(low + rng.integers(1, 90, len(low)), len(words))
+    for passage, i, j, may in zip(k.tolist(), low.tolist(), high.tolist(), block._enough(k, low, high, words, before).tolist()):
+        near, own = words[i:j].tolist(), block.numbers[passage]
+        enough = min(sum(w in own for w in near), sum(w in near for w in own)) >= decontaminate.PARAPHRASE * len(own)
+        assert may == enough
+
+
 @pytest.mark.parametrize("block", [512, 40])
 def test_leaks_of_every_kind_in_several_blocks(spark, monkeypatch, block):
     """Whole, shifted, reworded with the answer kept, and short items; each of equal rows; nothing in clean texts."""
