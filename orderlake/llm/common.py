@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import sys
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from orderlake.session import durable, shared_directory
 
-__all__ = ["ROW", "ascii_lower", "durable", "read", "release", "settings", "shared_directory", "word_list"]
+__all__ = ["KEPT", "ROW", "ascii_lower", "durable", "forget", "read", "release", "settings", "shared_directory", "word_list"]
 
 #: Name of the struct in which an operator carries a caller's whole row past its own columns.
 ROW = "__row"
@@ -18,6 +19,9 @@ ROW = "__row"
 #: A Python worker gets batches of so many rows and so many bytes: long texts stay a bounded batch.
 BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 
+#: Name of the module in which a Python worker keeps the encoders that serve several of its tasks.
+KEPT = "_piece_ids"
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -38,6 +42,11 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.5)
 
 
+def forget() -> None:
+    """Called in a task: its worker, which Spark uses again, lets go of the encoders that an earlier operator left in it."""
+    sys.modules.pop(KEPT, None)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str, *columns: str) -> DataFrame:
     return settings(spark).read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
 

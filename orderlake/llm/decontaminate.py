@@ -124,7 +124,8 @@ def vector(words: list[bytes], terms: dict[bytes, int], weight: np.ndarray) -> t
 
 def latent_space(spark: SparkSession, vectors: list[tuple[list[int], list[float]]], n_terms: int, rank: int) -> np.ndarray:
     """Term vectors (n_terms, rank) of a randomised SVD; each product is summed over the partitions of the passages."""
-    rows = spark.createDataFrame(vectors, "terms array<int>, weights array<double>").repartition(8)
+    table = pa.table({"terms": pa.array([t for t, _ in vectors], pa.list_(pa.int32())), "weights": pa.array([w for _, w in vectors], pa.list_(pa.float64()))})
+    rows = spark.createDataFrame(table).repartition(8)  # from Arrow: a list would start Python workers of another kind, which stay
     width = min(rank + OVERSAMPLE, n_terms)
 
     def product(basis: np.ndarray) -> np.ndarray:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import durable, forget
 from .components import components
 
 BITS, BUDGET, SHINGLE, SEED = 64, 2, 3, 42
@@ -59,6 +59,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, content, fp`` (a hash of the text, and the fingerprint's bits as a bigint) of each row of ``docs`` (doc_id, text)."""
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for frame in frames:
             prints = np.fromiter(map(fingerprint, frame["text"]), np.uint64, len(frame))
             yield pd.DataFrame({"doc_id": frame["doc_id"], "content": frame["content"], "fp": prints.view(np.int64)})

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bwt, winnow
-from .common import durable, release
+from .common import durable, forget, release
 
 LENGTH = 100
 #: Surroundings in a bundle, and in each of its shards.
@@ -53,6 +53,7 @@ def occurrences(docs: DataFrame, length: int) -> DataFrame:
     """``group`` (the anchor's hash), ``around, key, sub, at, covered``; within a batch all but the first of equal surroundings are covered."""
 
     def batches(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        forget()
         for frame in frames:
             texts = [(t or "").encode("utf-8", "replace") for t in frame["text"]]
             number, at, gram, around = winnow.anchors(texts, length)

@@ -13,6 +13,8 @@ import types
 import regex
 from tokenizers import Tokenizer
 
+from .common import KEPT
+
 # fixed values of the tokenizer file: its splitting pattern
 PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Characters whose lower case and class are the same in every Unicode version; no composition among them.
@@ -71,7 +73,7 @@ class PieceIds(dict):
 
 def load(path: str) -> PieceIds:
     """The encoder of this worker process; what it remembers serves every task of the worker."""
-    shared = sys.modules.setdefault("_piece_ids", types.ModuleType("_piece_ids")).__dict__
+    shared = sys.modules.setdefault(KEPT, types.ModuleType(KEPT)).__dict__
     if path not in shared:
         shared[path] = PieceIds(Tokenizer.from_file(path))
     return shared[path]

@@ -2,14 +2,18 @@
 
 import hashlib
 import random
+import sys
+import types
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from llm_rows import ODD_ROWS, SF_DIR, prose
 
 from orderlake.llm import bwt, decontaminate, simhash, suffix, winnow
+from orderlake.llm.common import KEPT
 from orderlake.llm.components import components
 from orderlake.llm.queries import QUERIES
 
@@ -332,6 +336,36 @@ def test_candidates_are_counted_together_before_any_is_read(monkeypatch):
         assert may == enough
 
 
+@pytest.mark.parametrize("start", [simhash.fingerprints, lambda docs: suffix.occurrences(docs, 100)])
+def test_a_worker_lets_go_of_the_encoders_of_another_operator(spark, monkeypatch, start):
+    class Docs:
+        def select(self, *columns):
+            return self
+
+        def mapInPandas(self, task, schema):
+            self.task = task
+            return self
+
+    docs = Docs()
+    start(docs)
+    monkeypatch.setitem(sys.modules, KEPT, types.ModuleType(KEPT))
+    list(docs.task(iter([])))
+    assert KEPT not in sys.modules
+
+
+def test_vectors_reach_the_tasks_without_python_rows(spark):
+    """A list of rows would be made in Python workers of another kind, which stay beside those of the operators."""
+    vectors = [([0, 2], [1.0, 0.5]), ([1], [2.0]), ([0, 1, 2], [0.25, 1.0, 1.5])]
+    made, plain = [], type(spark).createDataFrame
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark), "createDataFrame", lambda self, data, *a, **k: made.append(type(data)) or plain(self, data, *a, **k))
+        space = decontaminate.latent_space(spark, vectors, 3, 3)
+    dense = np.zeros((3, 3))
+    for i, (terms, weights) in enumerate(vectors):
+        dense[i, terms] = weights
+    assert made == [pa.Table] and np.allclose(space @ space.T, np.eye(3), atol=1e-5) and np.allclose(dense @ space @ space.T, dense, atol=1e-5)
+
+
 @pytest.mark.parametrize("block", [512, 40])
 def test_leaks_of_every_kind_in_several_blocks(spark, monkeypatch, block):
     """Whole, shifted, reworded with the answer kept, and short items; each of equal rows; nothing in clean texts."""
