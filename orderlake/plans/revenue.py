@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..contract import OUTLIER_REVENUE
@@ -13,6 +14,8 @@ from ..functions import day_of, instant_of, money
 LINE_KEY = ["order_id", "lineitem_id"]
 # attributes an order takes from its lines
 ORDER_ATTRIBUTES = ["user_id", "restaurant_id", "app_name", "currency", "is_loyalty", "creation_time_utc"]
+# those that travel together behind one line id; few, as who needs one of a group carries them all
+TOGETHER = [["user_id"], ["creation_time_utc", "is_loyalty"], ["restaurant_id", "app_name", "currency"]]
 
 
 def line_item_facts(items: DataFrame, options: DataFrame, outlier_threshold: float = OUTLIER_REVENUE) -> DataFrame:
@@ -47,17 +50,30 @@ def line_item_facts(items: DataFrame, options: DataFrame, outlier_threshold: flo
 def order_facts(lines: DataFrame, outlier_threshold: float = OUTLIER_REVENUE, carried: Sequence[str] = ()) -> DataFrame:
     """One row per order, with columns ``carried`` that all lines of an order share.
 
-    Each attribute is its first non-NULL value by ``lineitem_id``. Outliers are flagged,
-    never dropped.
+    Each attribute is its first non-NULL value by ``lineitem_id``; of several lines with the same id, attributes
+    that travel together come from one. Outliers are flagged, never dropped.
     """
 
-    def first_known(name: str):
-        value = F.col(name)
-        by_line = F.min(F.when(value.isNotNull(), F.struct("lineitem_id", value.alias("v"))))
-        return by_line.getField("v").alias(name)
+    def earliest(lines_with: Column, *names: str) -> Column:
+        return F.min(F.when(lines_with, F.struct("lineitem_id", *names)))
 
+    def first_known(names: list[str]) -> list[Column]:
+        """Lines that know all of ``names`` send them behind one line id, only the others each by itself."""
+        known = [F.col(n).isNotNull() for n in names]
+        if len(names) == 1:
+            return [earliest(known[0], *names).getField(names[0]).alias(names[0])]
+        all_known = reduce(Column.__and__, known)
+        first = earliest(all_known, *names)
+
+        def of(name: str, is_known: Column) -> Column:
+            whole = F.when(first.isNotNull(), F.struct(first["lineitem_id"].alias("lineitem_id"), first[name].alias(name)))
+            return F.least(whole, earliest(is_known & ~all_known, name)).getField(name).alias(name)
+
+        return [of(n, k) for n, k in zip(names, known)]
+
+    attributes = {n: c for names in TOGETHER for n, c in zip(names, first_known(names))}
     rolled = lines.groupBy("order_id", *carried).agg(
-        *(first_known(a) for a in ORDER_ATTRIBUTES),
+        *(attributes[a] for a in ORDER_ATTRIBUTES),
         F.sum("net_revenue").alias("order_revenue"),
         F.sum("gross_revenue").alias("order_gross_revenue"),
         F.sum("discount_amount").alias("order_discount_amount"),

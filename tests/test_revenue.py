@@ -1,9 +1,11 @@
+import random
+import re
 from datetime import date
 
 import pytest
 from helpers import by, rows
 
-from orderlake.plans.revenue import known_customers, line_item_facts, order_facts, regular
+from orderlake.plans.revenue import ORDER_ATTRIBUTES, TOGETHER, known_customers, line_item_facts, order_facts, regular
 
 ITEM = ("order_id string, lineitem_id string, user_id string, restaurant_id string, app_name string, currency string, "
         "is_loyalty boolean, creation_time_utc string, item_category string, item_name string, item_price double, item_quantity int")
@@ -75,3 +77,33 @@ def test_line_and_order_outliers_differ(spark):
     orders = order_facts(lines(spark, [item("o1", str(i), 4000.0) for i in range(3)] + [item("o2", "1", user=None)]))
     assert rows(orders.select("order_id", "is_outlier")) == [("o1", True), ("o2", False)]
     assert known_customers(orders).count() == 0
+
+
+def test_attributes_with_gaps_equal_plain_search(spark):
+    rng = random.Random(9)
+
+    def some(value):
+        return value if rng.random() < 0.6 else None
+
+    data = []
+    for order in range(120):
+        for line in rng.sample(range(10, 99), rng.randint(1, 6)):
+            at = (some(f"u{rng.randrange(4)}"), some(f"r{rng.randrange(4)}"), some(f"a{rng.randrange(4)}"), some("USD"), some(rng.random() < 0.5), some(f"2023-05-{rng.randrange(10, 30)} 10:00:00"))
+            data.append((f"o{order}", str(line), *at, "Food", "Soup", 1.0, 1))
+    out = by(order_facts(lines(spark, data).repartition(5)), "order_id")
+    names = [c.split()[0] for c in ITEM.split(", ")]
+    for order, row in out.items():
+        own = sorted((dict(zip(names, d)) for d in data if d[0] == order), key=lambda d: d["lineitem_id"])
+        for name in ORDER_ATTRIBUTES:
+            assert row[name] == next((d[name] for d in own if d[name] is not None), None), (order, name)
+
+
+def test_attributes_travel_behind_few_line_ids(spark):
+    """Six line ids a line were the largest part of what ``order_facts`` shuffled; an attribute that is needed alone stays alone."""
+    facts = order_facts(lines(spark, [item("o1", "1")], [("o1", "1", "g", "x", 1.0, 1)]))
+    for names in TOGETHER:
+        plan = facts.select(*names)._jdf.queryExecution().optimizedPlan().toString()
+        sent = ", ".join(rf"{n}, {n}#\d+" for n in names)
+        assert re.search(rf"struct\(lineitem_id, lineitem_id#\d+, {sent}\)", plan), plan
+    alone = facts.select("user_id", "order_revenue")._jdf.queryExecution().optimizedPlan().toString()
+    assert "app_name, app_name#" not in alone
