@@ -31,7 +31,8 @@ def line_item_facts(items: DataFrame, options: DataFrame, outlier_threshold: flo
         F.sum(F.least(amount, F.lit(0.0))).alias("opt_minus"),
         F.sum(F.greatest(amount, F.lit(0.0))).alias("opt_plus"),
     )
-    joined = items.join(per_line, LINE_KEY, "left")
+    # one row per line at most, so no key is hot: hashed, neither side is sorted by its texts
+    joined = items.join(per_line.hint("shuffle_hash"), LINE_KEY, "left")
     item = money("item_price", "item_quantity")
     minus = F.coalesce("opt_minus", F.lit(0.0))
     net = item + F.coalesce("opt_total", F.lit(0.0))
