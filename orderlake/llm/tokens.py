@@ -1,12 +1,14 @@
 """Token ids of whole texts with a public word-level BPE file, fast enough for a corpus.
 
-The file's normalizer and splitter are applied by one regular expression to texts of plain
-Latin characters, and every distinct piece is encoded once by the tokenizer and remembered.
+The file's normalizer and splitter are applied to texts of plain Latin characters by setting every piece
+between spaces; its merges are those of byte pairs in order of their ids, where the space behind a piece stands for the file's mark of a word's end.
+So pieces are encoded natively, text by text, and nothing is remembered between texts.
 All other texts (other scripts, control characters, special tokens) go through the tokenizer whole.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 
@@ -15,12 +17,25 @@ from tokenizers import Tokenizer
 
 from .common import KEPT
 
-# fixed values of the tokenizer file: its splitting pattern
-PIECE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 #: Characters whose lower case and class are the same in every Unicode version; no composition among them.
-PLAIN = regex.compile(r"[\t-\r -~¡-įı-ɏ‐-―‘-‟†-…€]*+")
-#: Pieces remembered in a generation.
-MEMORY = 300_000
+PLAIN_CHARACTERS = "\t-\r -~¡-įı-ɏ‐-―‘-‟†-…€"
+PLAIN = re.compile(f"[{PLAIN_CHARACTERS}]*+")
+# fixed values of the tokenizer file, which splits by '(?:CONTRACTIONS)|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+, and how it marks a word's end
+CONTRACTIONS, END_OF_WORD = "s|t|re|ve|m|ll|d", "</w>"
+
+
+def _all(kind: str) -> str:
+    """The plain characters in lower case that are of a kind, as the inside of a class."""
+    plain = regex.compile(f"[{PLAIN_CHARACTERS}]")
+    lower = {chr(c).lower() for c in range(0x2100) if plain.fullmatch(chr(c))}
+    return "".join(re.escape(c) for c in sorted(lower) if regex.fullmatch(kind, c))
+
+
+DIGITS, SYMBOLS = _all(r"\p{N}"), _all(r"[^\s\p{L}\p{N}]")
+#: All pieces of a plain text in lower case but its runs of letters; begins with one class, as the library finds that sooner than a choice.
+APART = re.compile(rf"[{DIGITS}{SYMBOLS}](?:(?<=')(?:{CONTRACTIONS})|(?<=[{SYMBOLS}])[{SYMBOLS}]+|)")
+#: No character of a plain text; the library wants a special token to hand over ids as a buffer.
+UNUSED = "\U0010ffff"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -30,35 +45,30 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-LETTERS = _byte_letters()
+def byte_ranks(vocabulary: dict[str, int]) -> dict[bytes, int]:
+    """Ids of the bytes that tokens stand for; a space behind them is the end of a word.
 
+    A byte and the end of a word have smaller ids than any longer token, so the end is always merged first.
+    """
+    byte = {letter: b for b, letter in _byte_letters().items()}
+    ranks = {}
+    for token, number in vocabulary.items():
+        inner = token.removesuffix(END_OF_WORD)
+        ranks[bytes(byte[c] for c in inner) + b" " * (inner != token)] = number
+    if len(ranks) != len(vocabulary):
+        raise ValueError("two tokens stand for the same bytes")
+    return ranks
 
-class PieceIds(dict):
-    """Ids of a piece, as little-endian unsigned 32-bit bytes.
 
-    Two generations are remembered: what is still used when the younger one is full moves on.
-    """
+class TextIds:
+    """Ids of texts, as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, tokenizer: Tokenizer):
-        super().__init__()
+        import tiktoken
+
         self.tokenizer = tokenizer
-        self.old: dict[str, bytes] = {}
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMORY:
-            self.old = dict(self)
-            self.clear()
-        ids = self.old.get(piece)
-        if ids is None:
-            ids = self.piece(piece)
-        if len(piece) <= 100:  # a long run is not worth remembering
-            self[piece] = ids
-        return ids
-
-    def piece(self, piece: str) -> bytes:
-        """Ids of what the splitter would leave whole."""
-        spelled = piece.encode().decode("latin-1").translate(LETTERS)
-        return b"".join(t.id.to_bytes(4, "little") for t in self.tokenizer.model.tokenize(spelled))
+        ranks = byte_ranks(tokenizer.get_vocab(with_added_tokens=False))
+        self.pieces = tiktoken.Encoding("pieces", pat_str="[^ ]+ ", mergeable_ranks=ranks, special_tokens={UNUSED: tokenizer.get_vocab_size()})
 
     def whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -68,12 +78,15 @@ class PieceIds(dict):
         """Ids of a whole text."""
         if "<|" in text or not PLAIN.fullmatch(text):
             return self.whole(text)
-        return b"".join(map(self.__getitem__, PIECE.findall(text.lower())))
+        spaced = APART.sub(r" \g<0> ", text.lower()) + " "
+        for space in "\t\n\v\f\r":
+            spaced = spaced.replace(space, " ")
+        return self.pieces.encode_to_numpy(spaced, disallowed_special=()).astype("<u4", copy=False).tobytes()
 
 
-def load(path: str) -> PieceIds:
-    """The encoder of this worker process; what it remembers serves every task of the worker."""
+def load(path: str) -> TextIds:
+    """The encoder of this worker process, for every task of the worker."""
     shared = sys.modules.setdefault(KEPT, types.ModuleType(KEPT)).__dict__
     if path not in shared:
-        shared[path] = PieceIds(Tokenizer.from_file(path))
+        shared[path] = TextIds(Tokenizer.from_file(path))
     return shared[path]

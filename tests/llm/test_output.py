@@ -1,9 +1,13 @@
 """Packing, training shards, page text, the pipeline."""
 
 import itertools
+import json
+import random
 import time
+import tracemalloc
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +34,48 @@ def test_ids_equal_the_tokenizer():
         assert np.frombuffer(encoder.text(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
+def test_merges_are_those_of_byte_pairs_in_order_of_ids():
+    """Merging the adjacent pair with the smallest id gives what the file's merges give, as each token comes from its own merge alone."""
+    model = json.loads(Path(BPE).read_text())["model"]
+    vocabulary, merges = model["vocab"], [tuple(m) for m in model["merges"]]
+    made = [vocabulary[a + b] for a, b in merges]
+    assert made == sorted(set(made)) and len(vocabulary) == len(made) + 512 and min(made) == 512
+    assert len(tokens.byte_ranks(vocabulary)) == len(vocabulary)
+    rank = {m: i for i, m in enumerate(merges)}
+    for a, b in merges:
+        ended, symbols = (a + b).endswith("</w>"), list((a + b).removesuffix("</w>"))
+        if ended:
+            symbols[-1] += "</w>"
+        while len(symbols) > 2:
+            best = min(range(len(symbols) - 1), key=lambda k: rank.get((symbols[k], symbols[k + 1]), len(rank)))
+            symbols[best : best + 2] = [symbols[best] + symbols[best + 1]]
+        assert tuple(symbols) == (a, b)
+
+
+def test_ids_of_random_plain_texts_equal_the_tokenizer():
+    encoder, plain = tokens.load(BPE), Tokenizer.from_file(BPE)
+    choice = random.Random(5).choice
+    plain_characters = [c for c in map(chr, range(0x20AD)) if tokens.PLAIN.fullmatch(c)]
+    for alphabet in (plain_characters, "'strevmld ,.!", "ab1²½ \n'-", "thean in"):
+        for length in [0, 1, 2, 3, *[60] * 300, 3000]:
+            text = "".join(choice(alphabet) for _ in range(length))
+            assert np.frombuffer(encoder.text(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
+
+
+def test_an_encoder_remembers_no_texts():
+    encoder = tokens.load(BPE)
+    encoder.text("warm up")
+    choice = random.Random(7).choice
+    texts = [" ".join("".join(choice("abcdefgh") for _ in range(9)) for _ in range(300)) for _ in range(50)]
+    tracemalloc.start()
+    try:
+        for text in texts:
+            encoder.text(text)
+        assert tracemalloc.get_traced_memory()[0] < 100_000
+    finally:
+        tracemalloc.stop()
+
+
 def check_packed(rows, capacity=packing.CAPACITY):
     assert len({(r.doc_id, r.piece) for r in rows}) == len(rows) or any(n > 1 for n in Counter((r.doc_id, r.piece) for r in rows).values())
     for _, group in itertools.groupby(sorted(rows, key=lambda r: (r.sequence_id, r.offset)), key=lambda r: r.sequence_id):
