@@ -6,7 +6,8 @@ sort key, no random state and no table. A shard is a range of slots; its file ho
 all of the same size, so the place of a slot follows by arithmetic and a reader starts anywhere.
 
 Texts are encoded twice, once to count and once to write, so that ids are moved only once and
-never stored in between. Both passes must see the same partitions: ``docs`` is a plain read of files, and a
+never stored in between. The splitting pattern's look-ahead takes some two fifths of the encoding, so texts are encoded
+without it, after they are cut where it would. Both passes must see the same partitions: ``docs`` is a plain read of files, and a
 partition that changed between the passes fails the job. A file is written aside and moved into place when it is
 whole, so a lost or repeated task leaves no part of one.
 
@@ -19,11 +20,12 @@ shard and an empty manifest.
 from __future__ import annotations
 
 import base64
+import re
 import sys
 import types
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -40,6 +42,12 @@ ROUNDS = 6
 #: A record: the number of ids, then the ids padded with the end token.
 RECORD = np.dtype([("n", "<u4"), ("ids", "<u2", SEQUENCE)])
 
+#: The splitting pattern of the public file, which leaves the last of several white-space characters to what follows, by looking ahead.
+LOOKING_AHEAD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space of that pattern's library, and the characters behind which the look-ahead cuts. No other place of a text depends on it.
+WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+CUT = re.compile(f"[{WHITE}](?=[{WHITE}][^{WHITE}])")
+
 #: Spelling of the end token for the library, which wants one to hand over ids as a buffer; in a text it is text like any other.
 UNUSED = "\U0010ffff"
 
@@ -66,20 +74,45 @@ def encoder(ranks_path: str, pattern: str):
     import tiktoken
 
     shared = sys.modules.setdefault("_shard_encoders", types.ModuleType("_shard_encoders")).__dict__
-    if ranks_path not in shared:
+    key = f"{ranks_path} {pattern}"
+    if key not in shared:
         with open(ranks_path, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        shared[ranks_path] = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={UNUSED: len(ranks)}), len(ranks)
-    return shared[ranks_path]
+        shared[key] = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={UNUSED: len(ranks)}), len(ranks)
+    return shared[key]
 
 
 def ids_of(text: str | None, encoding, end: int) -> np.ndarray:
-    found = encoding.encode_to_numpy(text or "", disallowed_special=())
+    return _ended(encoding.encode_to_numpy(text or "", disallowed_special=()), end)
+
+
+def _ended(found: np.ndarray, end: int) -> np.ndarray:
     out = np.empty(len(found) + 1, np.uint16)
     out[:-1], out[-1] = found, end
     return out
 
 
+def text_ids(ranks_path: str, pattern: str) -> tuple[Callable[[str | None], np.ndarray], int]:
+    """What gives the same as ``ids_of`` with ``pattern``, sooner where it is the public one; and the end token."""
+    if pattern != LOOKING_AHEAD:
+        encoding, end = encoder(ranks_path, pattern)
+        return lambda text: ids_of(text, encoding, end), end
+    encoding, end = encoder(ranks_path, pattern.replace(r"\s+(?!\S)|", ""))
+
+    def ids(text: str | None) -> np.ndarray:
+        cut, times = CUT.subn(rf"\g<0>{UNUSED}", text or "")
+        if not times:
+            return ids_of(text, encoding, end)
+        if UNUSED in text:  # cannot mark a cut
+            ends = [m.end() for m in CUT.finditer(text)]
+            parts = [encoding.encode_to_numpy(text[a:b], disallowed_special=()) for a, b in zip([0, *ends], [*ends, None])]
+            return _ended(np.concatenate(parts), end)
+        found = encoding.encode_to_numpy(cut, allowed_special={UNUSED}, disallowed_special=())
+        return _ended(found[found != end], end)
+
+    return ids, end
+
+
 def permute(numbers: np.ndarray, size: int, key: int) -> np.ndarray:
     """Slots of ``numbers``: a bijection of 0 ... size - 1 that depends on ``key``."""
     half = max(1, ((max(2, size) - 1).bit_length() + 1) // 2)
@@ -108,8 +141,8 @@ def counts(docs: DataFrame, ranks_path: str, pattern: str) -> dict[int, int]:
     """Sequences of each partition of ``docs``: one number for each partition comes to the driver."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding, _ = encoder(ranks_path, pattern)
-        total = sum(_sequences(len(encoding.encode_to_numpy(t or "", disallowed_special=())) + 1) for frame in frames for t in frame["text"])
+        ids, _ = text_ids(ranks_path, pattern)
+        total = sum(_sequences(len(ids(text))) for frame in frames for text in frame["text"])
         yield pd.DataFrame({"partition": [TaskContext.get().partitionId()], "n": [total]})
 
     return {r["partition"]: r["n"] for r in docs.select("text").mapInPandas(count, "partition int, n long").collect()}
@@ -127,13 +160,13 @@ def write_shards(docs: DataFrame, root: str, ranks_path: str, pattern: str, key:
         at += found[partition]
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoding, end = encoder(ranks_path, pattern)
+        ids_of_text, _ = text_ids(ranks_path, pattern)
         partition = TaskContext.get().partitionId()
         done = 0
         for frame in frames:
             rows = []
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                ids = ids_of(text, encoding, end)
+                ids = ids_of_text(text)
                 rows += [(doc_id, p, ids[p * SEQUENCE : (p + 1) * SEQUENCE].tobytes()) for p in range(_sequences(len(ids)))]
             if not rows:
                 continue
@@ -146,7 +179,7 @@ def write_shards(docs: DataFrame, root: str, ranks_path: str, pattern: str, key:
             raise RuntimeError("the partitions of the documents changed between the passes")
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _, end = encoder(ranks_path, pattern)
+        _, end = text_ids(ranks_path, pattern)
         store, folder = opened(root)
         store.create_dir(folder, recursive=True)
         current, out, aside = None, None, ""

@@ -159,6 +159,20 @@ def test_ids_equal_plain_encoding():
         assert found.dtype == np.uint16 and found.tolist() == [*encoding.encode_ordinary(text or ""), end], text
 
 
+def test_ids_without_look_ahead_equal_plain_encoding():
+    assert public_tokenizers.PATTERN == shards.LOOKING_AHEAD  # or the slower pattern is taken
+    (ids, end), (encoding, _) = shards.text_ids(*RANKS), shards.encoder(*RANKS)
+    choice = random.Random(3).choice
+    texts = [None, "", " ", "a  b", "a\n\n  b \t", "  x", "x  ", f"a  {shards.UNUSED} b", f"  {shards.UNUSED}", "<|endoftext|>   x", "if x:\n    y = 1\n\n\treturn  y "]
+    for alphabet in (" \n\ta'1.", "é \u3000\x85\xa0\x1c\x1f\u2028 ", f" \n{shards.UNUSED}a!"):
+        texts += ["".join(choice(alphabet) for _ in range(choice(range(14)))) for _ in range(2000)]
+    for text in texts:
+        found = ids(text)
+        assert found.dtype == np.uint16 and found.tolist() == [*encoding.encode_ordinary(text or ""), end], text
+    other = RANKS[0], r"\S+\s*(?!x)|\s"
+    assert shards.text_ids(*other)[0]("a  xb  c").tolist() == [*shards.encoder(*other)[0].encode_ordinary("a  xb  c"), end]
+
+
 def test_addresses():
     spelled = {"file:/a/b": "file:///a/b", "file:///a": "file:///a", "/a": "/a", "s3a://b/x": "s3://b/x", "s3n://b/x": "s3://b/x", "hdfs://h:8020/x": "hdfs://h:8020/x"}
     assert {root: shards.address(root) for root in spelled} == spelled
